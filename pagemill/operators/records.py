@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.replies import FIELDS
@@ -47,11 +47,10 @@ def exclude_existing(records: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def first_parsed_attempt(parsed: DataFrame) -> DataFrame:
-    """Per chunk the items of the first attempt with a non-empty list, neither checked nor deduplicated."""
-    first = (
-        parsed.where(F.col("items").isNotNull())
-        .groupBy("rel_path", "chunk_index")
-        .agg(F.min_by(F.struct("attempt", "items"), "attempt").alias("first"))
+    """Per chunk the first attempt with a non-empty list; its items unchecked and with repeats."""
+    usable = F.when(F.col("items").isNotNull(), F.col("attempt"))
+    first = parsed.groupBy("rel_path", "chunk_index").agg(
+        F.min_by(F.struct("attempt", "items"), usable).alias("first")
     )
     return first.select(
         "rel_path", "chunk_index", "first.attempt", F.posexplode("first.items").alias("i", "item")
@@ -81,6 +80,8 @@ def accept_attempts(
     if existing is not None:
         keys = RECORD_KEY if scope == "run" else ["rel_path", *RECORD_KEY]
         records = records.join(existing.select(*keys).distinct(), keys, "left_anti")
+    # Read twice below; written once, so replies are parsed once.
+    records = cut_lineage(records.select(*RECORD_COLUMNS))
 
     in_file = scope != "run"
     place = F.struct("chunk_index") if in_file else F.struct("rel_path", "chunk_index")
@@ -124,21 +125,18 @@ def _key_hash() -> Column:
 
 
 def _settle(rows: DataFrame) -> DataFrame:
-    """Marks which chunks are settled and the attempt each is at."""
+    """Marks which chunks are settled and the attempt each is at.
+
+    Keys are counted up before they are joined back; only a chunk's own few attempts are windowed.
+    """
     per_key = rows.groupBy("scope", "key").agg(F.min("place").alias("first_place"))
     marked = rows.join(per_key, ["scope", "key"])
-    new_here = F.col("first_place") == F.col("place")
-    per_chunk = marked.groupBy("scope", "place").agg(
-        F.min("attempt").alias("current"),
-        F.max("attempt").alias("last"),
-        F.min(F.when(new_here, F.col("attempt"))).alias("first_new"),
-    )
-    settled = (F.col("current") == F.col("last")) | F.coalesce(
-        F.col("first_new") == F.col("current"), F.lit(False)
-    )
-    return rows.join(
-        per_chunk.select("scope", "place", "current", settled.alias("settled")),
-        ["scope", "place"],
+    chunk = Window.partitionBy("scope", "place")
+    new_here = F.when(F.col("first_place") == F.col("place"), F.col("attempt"))
+    current, last = F.min("attempt").over(chunk), F.max("attempt").over(chunk)
+    brings_new = F.coalesce(F.min(new_here).over(chunk) == current, F.lit(False))
+    return marked.select(
+        *rows.columns, current.alias("current"), ((current == last) | brings_new).alias("settled")
     )
 
 

@@ -7,7 +7,9 @@ All narrow: a reply is parsed where it is read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.replies import (
@@ -55,49 +57,53 @@ def scan_replies(
 
 def explode_records(parsed: DataFrame) -> DataFrame:
     """One row per list item, in order; ``pos`` counts from 1."""
-    return parsed.select(*REPLY_KEY, F.posexplode("items").alias("i", "item")).select(
-        *REPLY_KEY, (F.col("i") + 1).cast("int").alias("pos"), "item"
+    # The outer form keeps the optimizer from deriving a filter that would parse a second time.
+    return (
+        parsed.select(*REPLY_KEY, F.posexplode_outer("items").alias("i", "item"))
+        .where(F.col("i").isNotNull())
+        .select(*REPLY_KEY, (F.col("i") + 1).cast("int").alias("pos"), "item")
     )
 
 
+def _records(parsed: DataFrame, finish: Callable[[Column], Column]) -> DataFrame:
+    """Flatten every object's fields inside the array, so each is worked out once, then explode."""
+
+    def is_odd(item: Column) -> Column:
+        plain = F.lit(True)
+        for name in FIELDS:
+            plain = plain & has_plain_text(field(item, name))
+        return is_object(item) & ~plain
+
+    span = F.when(F.exists("items", is_odd), F.col("span"))
+    rows = parsed.select(*REPLY_KEY, "items", exact_texts(span).alias("exact"))
+
+    def record(item: Column, i: Column) -> Column:
+        exact = F.get("exact", i)
+        texts = [
+            finish(
+                F.when(F.col("exact").isNull(), flatten_value(field(item, name)))
+                .otherwise(exact[name])
+            ).alias(name)
+            for name in FIELDS
+        ]
+        return F.when(is_object(item), F.struct((i + 1).cast("int").alias("pos"), *texts))
+
+    exploded = rows.select(*REPLY_KEY, F.explode_outer(F.transform("items", record)).alias("r"))
+    return exploded.where(F.col("r").isNotNull()).select(*REPLY_KEY, "r.*")
+
+
 def reply_records(parsed: DataFrame) -> DataFrame:
     """The three fields of every object item as text; other items are left out."""
-    odd = F.exists(
-        "items",
-        lambda item: is_object(item)
-        & ~(has_plain_text(field(item, FIELDS[0])) & has_plain_text(field(item, FIELDS[1]))
-            & has_plain_text(field(item, FIELDS[2]))),
-    )
-    exact = exact_texts(F.when(odd, F.col("span")))
-    items = (
-        parsed.where(F.col("items").isNotNull())
-        .select(*REPLY_KEY, "items", exact.alias("exact"))
-        .select(*REPLY_KEY, "exact", F.posexplode("items").alias("i", "item"))
-        .where(is_object(F.col("item")))
-    )
-    texts = F.get("exact", F.col("i"))
-    return items.select(
-        *REPLY_KEY,
-        (F.col("i") + 1).cast("int").alias("pos"),
-        *[
-            F.when(F.col("exact").isNull(), flatten_value(field(F.col("item"), name)))
-            .otherwise(texts[name])
-            .alias(name)
-            for name in FIELDS
-        ],
-    )
+    return _records(parsed, lambda text: text)
 
 
 def _accepted(records: DataFrame) -> DataFrame:
-    clean = records.select(
-        *REPLY_KEY, "pos", *[stripped(F.col(name)).alias(name) for name in FIELDS]
-    )
-    return clean.where(is_valid(*[F.col(name) for name in FIELDS]))
+    return records.where(is_valid(*[F.col(name) for name in FIELDS]))
 
 
 def valid_records(parsed: DataFrame) -> DataFrame:
     """Records that pass the acceptance rule, fields flattened and stripped."""
-    return _accepted(reply_records(parsed))
+    return _accepted(_records(parsed, stripped))
 
 
 def valid_records_strict(parsed: DataFrame) -> DataFrame:
@@ -110,5 +116,7 @@ def valid_records_strict(parsed: DataFrame) -> DataFrame:
     for name in FIELDS:
         kind = F.schema_of_variant(F.col(name))
         all_strings = all_strings & (F.col(name).isNull() | (kind == "STRING"))
-    texts = [F.try_variant_get(F.col(name), "$", "string").alias(name) for name in FIELDS]
+    texts = [
+        stripped(F.try_variant_get(F.col(name), "$", "string")).alias(name) for name in FIELDS
+    ]
     return _accepted(values.where(all_strings).select(*REPLY_KEY, "pos", *texts))

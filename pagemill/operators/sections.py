@@ -21,6 +21,7 @@ from ..functions.text import (
     strip,
     word_count,
 )
+from ..session import cut_lineage
 from .pages import (
     VOLUME_PAGES,
     blank_documents,
@@ -125,7 +126,9 @@ def _routed(texts: DataFrame, min_words: int, part_size: int) -> DataFrame:
 def routed_sections(
     texts: DataFrame, min_words: int = MIN_WORDS, part_size: int = PART_SIZE
 ) -> DataFrame:
-    return _routed(texts, min_words, part_size).select("doc", F.inline("found"))
+    # The outer form keeps the optimizer from deriving a filter that would split a second time.
+    rows = _routed(texts, min_words, part_size).select("doc", F.inline_outer("found"))
+    return rows.where(F.col("seq").isNotNull())
 
 
 def short_sections(sections: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -196,7 +199,7 @@ def split_documents(
     texts = small_document_text(pages.join(long_docs, "doc", "left_anti"))
     small = _finished(_routed(texts, min_words, part_size), min_words, part_size)
     volumes = full_text(pages.join(long_docs, "doc", "left_semi"), volume_pages)
-    found = spanning_sections(volumes, min_words, part_size)
+    found = cut_lineage(spanning_sections(volumes, min_words, part_size))
     large = long_sections(found, min_words).unionByName(
         merge_short_spanning(short_sections(found, min_words), min_words, part_size)
     )

@@ -2,7 +2,8 @@
 
 ``volumes``: doc STRING, volume INT, text STRING; a document's text is its volumes joined by a
 blank line. Text is only ever grouped by volume, by section or by part. What has to be known about
-a whole document travels in narrow rows of numbers, windowed by document.
+a whole document travels in narrow rows of numbers, windowed by document. Results that several
+branches read are written once to the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from ..functions.text import (
     strip,
     word_count,
 )
+from ..session import cut_lineage
 from .pages import PAGE_BREAK
 
 
@@ -130,8 +132,10 @@ def _settled_volumes(volumes: DataFrame) -> DataFrame:
 
 def _heading_sections(volumes: DataFrame) -> DataFrame:
     """Sections by heading; text before a volume's first heading continues an earlier section."""
-    pieces = _settled_volumes(volumes).select(
-        "doc", "volume", heading_pieces(F.col("text")).alias("pieces")
+    pieces = cut_lineage(
+        _settled_volumes(volumes).select(
+            "doc", "volume", heading_pieces(F.col("text")).alias("pieces")
+        )
     )
     counts = pieces.select("doc", "volume", (F.size("pieces") - 1).alias("n"))
     places = counts.select(
@@ -218,7 +222,8 @@ def _fixed_parts(pieces: DataFrame, part_size: int, min_words: int) -> DataFrame
 
 
 def spanning_sections(volumes: DataFrame, min_words: int, part_size: int) -> DataFrame:
-    by_heading = _heading_sections(volumes)
+    volumes = cut_lineage(volumes)
+    by_heading = cut_lineage(_heading_sections(volumes))
     with_headings = by_heading.select("doc").distinct()
     plain = volumes.join(with_headings, "doc", "left_anti")
     pieces = plain.select("doc", F.col("volume").alias("ord"), "text")
@@ -236,7 +241,7 @@ def spanning_sections(volumes: DataFrame, min_words: int, part_size: int) -> Dat
 def merge_short_spanning(short: DataFrame, min_words: int, part_size: int) -> DataFrame:
     """Short sections of a document joined, cut anew and numbered without gaps."""
     pieces = short.select("doc", F.col("seq").alias("ord"), F.col("content").alias("text"))
-    parts = _fixed_parts(pieces, part_size, min_words)
+    parts = cut_lineage(_fixed_parts(pieces, part_size, min_words))
     numbers = parts.select(
         "doc", "k", F.row_number().over(Window.partitionBy("doc").orderBy("k")).alias("seq")
     )
