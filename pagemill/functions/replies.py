@@ -18,6 +18,10 @@ OPENING_WORDS = (
     "Why", "How", "What", "When", "Where", "Who",
 )
 
+# A value no reply holds, put behind a text to see that parsing got there.
+END = "\x01end\x02"
+END_ESCAPED = r"\u0001end\u0002"
+
 # Types whose text form native casts give exactly.
 PLAIN_TYPES = ("STRING", "BIGINT", "BOOLEAN", "VOID")
 
@@ -38,16 +42,19 @@ def strip_line_separators(c: Column) -> Column:
 def parse_array(text: Column) -> Column:
     """array<variant> if the whole text is one non-empty JSON list, else null.
 
-    The parser accepts a first value and ignores what follows, so the text is parsed as the only
-    element of an outer list.
+    The parser stops after a first complete value and ignores what follows. So the text is parsed
+    as the first of two elements, and the second must be found right behind it.
     """
-    outer = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    outer = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_ESCAPED}"]')))
+
+    def only(found: Column) -> Column:
+        last = F.try_variant_get(F.get(found, F.lit(1)), "$", "string")
+        whole = (F.size(found) == 2) & (last == END)
+        return F.when(whole, F.try_variant_get(F.get(found, F.lit(0)), "$", "array<variant>"))
+
     return bind(
-        F.try_variant_get(outer, "$", "array<variant>"),
-        lambda found: bind(
-            F.when(F.size(found) == 1, F.try_variant_get(F.get(found, F.lit(0)), "$", "array<variant>")),
-            lambda items: F.when(F.size(items) > 0, items),
-        ),
+        bind(F.try_variant_get(outer, "$", "array<variant>"), only),
+        lambda items: F.when(F.size(items) > 0, items),
     )
 
 

@@ -107,8 +107,9 @@ def encode_by_join(
     """The same by a join on the token; a row regroups at most ``max_len`` of them."""
     first = F.slice(tokens(F.col("text")), 1, max_len)
     exploded = texts.select(*key, F.posexplode(first).alias("at", "token"))
-    known = exploded.join(vocab.select("token", "id"), "token", "left")
-    item = F.struct("at", F.coalesce("id", F.lit(UNKNOWN_ID)).alias("id"))
+    ids = vocab.select("token", F.col("id").alias("token_id"))
+    known = exploded.join(ids, "token", "left")
+    item = F.struct("at", F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("id"))
     ids = known.groupBy(*key).agg(
         F.transform(F.sort_array(F.collect_list(item)), lambda t: t["id"]).alias("ids")
     )
