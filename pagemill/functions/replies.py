@@ -22,13 +22,14 @@ OPENING_WORDS = (
 END = "\x01end\x02"
 END_ESCAPED = r"\u0001end\u0002"
 
-# Types whose text form native casts give exactly.
-PLAIN_TYPES = ("STRING", "BIGINT", "BOOLEAN", "VOID")
+# Type of a list of objects whose values a plain cast to text prints right.
+TEXT_OBJECTS = r"^ARRAY<OBJECT<(?:[^:<>,]+: (?:STRING|BIGINT|VOID)(?:, )?)+>>$"
 
 
 def strip_think_tags(raw: Column) -> Column:
     """Remove think tags; what stands between them stays."""
-    return F.regexp_replace(raw, rf"(?iU)<{SPACE}*/?{SPACE}*think{SPACE}*>", "")
+    tagless = F.regexp_replace(raw, rf"(?iU)<{SPACE}*/?{SPACE}*think{SPACE}*>", "")
+    return F.when(raw.contains("<"), tagless).otherwise(raw)
 
 
 def fix_trailing_commas(c: Column) -> Column:
@@ -36,31 +37,41 @@ def fix_trailing_commas(c: Column) -> Column:
 
 
 def strip_line_separators(c: Column) -> Column:
-    return F.translate(c, "  ", "")
+    return F.translate(c, "\u2028\u2029", "")
 
 
 def parse_array(text: Column) -> Column:
-    """array<variant> if the whole text is one non-empty JSON list, else null.
+    """The list as a variant if the whole text is one non-empty JSON list, else null.
 
-    The parser stops after a first complete value and ignores what follows. So the text is parsed
-    as the first of two elements, and the second must be found right behind it.
+    ``text`` starts with ``[``. The parser stops after a first complete value and ignores what
+    follows. So the text is parsed as the first of two elements, and the second must be found
+    right behind it.
     """
     outer = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_ESCAPED}"]')))
 
-    def only(found: Column) -> Column:
-        last = F.try_variant_get(F.get(found, F.lit(1)), "$", "string")
-        whole = (F.size(found) == 2) & (last == END)
-        return F.when(whole, F.try_variant_get(F.get(found, F.lit(0)), "$", "array<variant>"))
+    def at(outer: Column, path: str, kind: str = "variant") -> Column:
+        return F.try_variant_get(outer, path, kind)
 
     return bind(
-        bind(F.try_variant_get(outer, "$", "array<variant>"), only),
-        lambda items: F.when(F.size(items) > 0, items),
+        outer,
+        lambda v: F.when(
+            (at(v, "$[1]", "string") == END)
+            & at(v, "$[2]").isNull()
+            & at(v, "$[0][0]").isNotNull(),
+            at(v, "$[0]"),
+        ),
     )
 
 
 def array_span(raw: Column) -> Column:
-    """Cleaned reply from its first ``[`` to its last ``]``; empty if there is none."""
-    return F.regexp_extract(fix_trailing_commas(strip_think_tags(raw)), r"(?s)\[.*\]", 0)
+    """Cleaned reply from its first ``[`` to its last ``]``; empty if there is none.
+
+    Cut out before cleaning, which moves neither bracket and then has less to do.
+    """
+    start = F.instr(raw, "[")
+    after = F.length(F.substring_index(raw, "]", -1))
+    span = F.substring(raw, start, F.length(raw) - after - start + 1)
+    return F.when(start > 0, fix_trailing_commas(strip_think_tags(span))).otherwise("")
 
 
 def scan_for_array(
@@ -85,20 +96,23 @@ def scan_for_array(
         ready = candidate if fix_commas_first else fix_trailing_commas(candidate)
         return F.when(named, parse_array(ready))
 
-    nothing = F.lit(None).cast("array<variant>")
     return bind(
         pieces,
         lambda ps: F.when(
             F.size(ps) > 1,
             F.aggregate(
                 F.sequence(F.lit(1), F.greatest(F.size(ps) - 1, F.lit(1))),
-                nothing,
+                F.lit(None).cast("variant"),
                 lambda found, j: F.when(found.isNotNull(), found).otherwise(attempt(ps, j)),
             ),
         ),
     )
 
 
+def elements(items: Column) -> Column:
+    return F.try_variant_get(items, "$", "array<variant>")
+
+
 def field(item: Column, name: str) -> Column:
     return F.try_variant_get(item, f"$.{name}", "variant")
 
@@ -107,68 +121,41 @@ def is_object(item: Column) -> Column:
     return F.schema_of_variant(item).startswith("OBJECT<")
 
 
-def _elements(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "array<variant>")
-
-
-def has_plain_text(value: Column) -> Column:
-    """False for floats, objects and lists that hold them: see ``exact_texts``."""
-    kind = F.schema_of_variant(value)
-    plain_list = F.forall(
-        _elements(value), lambda e: F.schema_of_variant(e).isin(*PLAIN_TYPES)
-    )
-    return F.coalesce(
-        F.when(kind.startswith("ARRAY<"), plain_list).otherwise(kind.isin(*PLAIN_TYPES)),
-        F.lit(True),
-    )
-
-
-def _scalar_text(value: Column, null: str) -> Column:
-    kind = F.schema_of_variant(value)
-    text = F.try_variant_get(value, "$", "string")
-    return (
-        F.when(value.isNull() | (kind == "VOID"), F.lit(null))
-        .when(kind == "BOOLEAN", F.initcap(text))
-        .otherwise(text)
-    )
+def holds_only_text(items: Column) -> Column:
+    """True if every element is an object (or null) of strings, whole numbers or null."""
+    return F.schema_of_variant(items).rlike(TEXT_OBJECTS)
 
 
-def flatten_value(value: Column) -> Column:
-    """A JSON value as text: null is empty, a list is its elements joined by a blank."""
-    kind = F.schema_of_variant(value)
-    listed = F.array_join(
-        F.transform(_elements(value), lambda e: _scalar_text(e, "None")), " "
-    )
-    return F.when(kind.startswith("ARRAY<"), listed).otherwise(_scalar_text(value, ""))
+def text_fields(items: Column) -> Column:
+    """The three fields of each element by one cast; exact where ``holds_only_text``."""
+    fields = ", ".join(f"{name}: string" for name in FIELDS)
+    return F.try_variant_get(items, "$", f"array<struct<{fields}>>")
 
 
 _RECORD = T.StructType([T.StructField(name, T.StringType()) for name in FIELDS])
 
 
 @F.pandas_udf(T.ArrayType(_RECORD))
-def exact_texts(spans):
-    """Texts of replies holding floats or objects, whose printed form native casts change.
+def printed_fields(spans):
+    """The three fields of each element where some value is not text.
 
-    Called with null for all other replies, which pass through untouched.
+    A list prints as its elements joined by a blank, an object as JSON, null as nothing, the rest
+    as Python prints it: forms of floats, booleans and nested values that no cast gives. Called
+    with null for replies that hold only text, which pass through untouched.
     """
-
-    def text_of(value):
-        as_text = {
-            type(None): lambda v: "",
-            list: lambda v: " ".join(str(e) for e in v),
-            dict: lambda v: json.dumps(v, ensure_ascii=False),
-        }
-        return as_text.get(type(value), str)(value)
-
-    def texts(span):
-        if span is None:
+    printed = {
+        type(None): lambda value: "",
+        list: lambda value: " ".join(str(element) for element in value),
+        dict: lambda value: json.dumps(value, ensure_ascii=False),
+    }
+
+    def fields(element):
+        if not isinstance(element, dict):
             return None
-        return [
-            {name: text_of(item.get(name)) for name in FIELDS} if isinstance(item, dict) else None
-            for item in json.loads(span)
-        ]
+        values = {name: element.get(name) for name in FIELDS}
+        return {name: printed.get(type(v), str)(v) for name, v in values.items()}
 
-    return spans.map(texts)
+    return spans.map(lambda span: span and [fields(element) for element in json.loads(span)])
 
 
 def is_valid(instruction: Column, input: Column, output: Column) -> Column:
@@ -183,4 +170,5 @@ def is_valid(instruction: Column, input: Column, output: Column) -> Column:
 
 
 def stripped(c: Column) -> Column:
+    """Stripped text; a missing field is empty."""
     return strip(F.coalesce(c, F.lit("")))

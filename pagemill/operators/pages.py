@@ -53,6 +53,17 @@ def _assemble(pages: DataFrame, *keys: str) -> DataFrame:
     return pages.groupBy(*keys).agg(F.array_join(texts, PAGE_BREAK).alias("text"))
 
 
+def small_documents(pages: DataFrame) -> DataFrame:
+    """As ``small_document_text`` in one row for every document, with its empty pages' numbers."""
+    page = F.struct("page_number", strip_control_chars(F.col("text")).alias("text"))
+    kept = F.sort_array(F.collect_list(F.when(has_text(), page)))
+    empty = F.sort_array(F.collect_list(F.when(~has_text(), F.col("page_number"))))
+    return pages.groupBy("doc").agg(
+        F.array_join(F.transform(kept, lambda p: p["text"]), PAGE_BREAK).alias("text"),
+        empty.alias("empty_pages"),
+    )
+
+
 def long_documents(pages: DataFrame, volume_pages: int = VOLUME_PAGES) -> DataFrame:
     """Documents of more than one volume; the page filter reaches the scan's statistics."""
     return pages.where(F.col("page_number") > volume_pages).select("doc").distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.replies import FIELDS
+from ..functions.replies import FIELDS, elements
 from ..session import cut_lineage
 from .chunks import resume_filter
 from .replies import REPLY_KEY
@@ -53,7 +53,10 @@ def first_parsed_attempt(parsed: DataFrame) -> DataFrame:
         F.min_by(F.struct("attempt", "items"), usable).alias("first")
     )
     return first.select(
-        "rel_path", "chunk_index", "first.attempt", F.posexplode("first.items").alias("i", "item")
+        "rel_path",
+        "chunk_index",
+        "first.attempt",
+        F.posexplode(elements(F.col("first.items"))).alias("i", "item"),
     ).select(*REPLY_KEY, (F.col("i") + 1).cast("int").alias("pos"), "item")
 
 
@@ -169,7 +172,7 @@ def completed_chunks(accepted: DataFrame, small: DataFrame | None = None) -> Dat
 
 
 def classify_failures(
-    parsed: DataFrame,
+    checked: DataFrame,
     accepted: DataFrame,
     small: DataFrame | None = None,
     progress: DataFrame | None = None,
@@ -177,12 +180,11 @@ def classify_failures(
 ) -> DataFrame:
     """Why attempts failed: every attempt before the accepted one, or all of a chunk's if none was.
 
-    ``accepted`` is the output of ``accept_attempts`` on the same replies. Chunks up to a file's
-    ``done`` were not asked again and are left out.
+    ``checked`` is the output of ``check_replies`` and ``accepted`` that of ``accept_attempts`` on the
+    same replies. Chunks up to a file's ``done`` were not asked
+    again and are left out.
     """
-    tried = parsed.where(F.col("attempt") <= max_retries).select(
-        *REPLY_KEY, "http_error", F.col("items").isNotNull().alias("has_list")
-    )
+    tried = checked.where(F.col("attempt") <= max_retries)
     if progress is not None:
         tried = resume_filter(tried, progress)
     failed = tried.join(accepted_chunks(accepted), ["rel_path", "chunk_index"], "left").where(

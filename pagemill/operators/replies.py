@@ -15,15 +15,16 @@ from pyspark.sql import functions as F
 from ..functions.replies import (
     FIELDS,
     array_span,
-    exact_texts,
+    elements,
     field,
-    flatten_value,
-    has_plain_text,
+    holds_only_text,
     is_object,
     is_valid,
     parse_array,
+    printed_fields,
     scan_for_array,
     stripped,
+    text_fields,
 )
 from ..session import prepare
 
@@ -35,12 +36,12 @@ def _answered():
 
 
 def parse_replies(responses: DataFrame) -> DataFrame:
-    """Adds ``items`` (array<variant>, null where no non-empty list was found) and ``span``."""
+    """Adds ``items``, the reply's JSON list (null where no non-empty one was found), and ``span``,
+    its text."""
     prepare(responses.sparkSession)
     span = F.when(_answered(), array_span(F.col("raw")))
-    return (
-        responses.select(*REPLY_KEY, "http_error", span.alias("span"))
-        .withColumn("items", parse_array(F.col("span")))
+    return responses.select(*REPLY_KEY, "http_error", span.alias("span")).withColumn(
+        "items", parse_array(F.col("span"))
     )
 
 
@@ -57,66 +58,80 @@ def scan_replies(
 
 def explode_records(parsed: DataFrame) -> DataFrame:
     """One row per list item, in order; ``pos`` counts from 1."""
-    # The outer form keeps the optimizer from deriving a filter that would parse a second time.
     return (
-        parsed.select(*REPLY_KEY, F.posexplode_outer("items").alias("i", "item"))
-        .where(F.col("i").isNotNull())
+        parsed.select(*REPLY_KEY, F.posexplode(elements(F.col("items"))).alias("i", "item"))
         .select(*REPLY_KEY, (F.col("i") + 1).cast("int").alias("pos"), "item")
     )
 
 
-def _records(parsed: DataFrame, finish: Callable[[Column], Column]) -> DataFrame:
-    """Flatten every object's fields inside the array, so each is worked out once, then explode."""
+def _with_texts(parsed: DataFrame) -> DataFrame:
+    """Adds ``texts``: per item a struct of the three fields as text, null for non-objects.
+
+    Nearly all replies hold nothing but text and take one cast. Only the others are printed in
+    Python, a batch at a time.
+    """
+    checked = parsed.withColumn("only_text", holds_only_text(F.col("items")))
+    printed = printed_fields(F.when(~F.col("only_text"), F.col("span")))
+    return checked.withColumn("printed", printed).select(
+        *REPLY_KEY,
+        "http_error",
+        F.col("items").isNotNull().alias("has_list"),
+        F.when(F.col("only_text"), text_fields(F.col("items")))
+        .otherwise(F.col("printed"))
+        .alias("texts"),
+    )
 
-    def is_odd(item: Column) -> Column:
-        plain = F.lit(True)
-        for name in FIELDS:
-            plain = plain & has_plain_text(field(item, name))
-        return is_object(item) & ~plain
-
-    span = F.when(F.exists("items", is_odd), F.col("span"))
-    rows = parsed.select(*REPLY_KEY, "items", exact_texts(span).alias("exact"))
-
-    def record(item: Column, i: Column) -> Column:
-        exact = F.get("exact", i)
-        texts = [
-            finish(
-                F.when(F.col("exact").isNull(), flatten_value(field(item, name)))
-                .otherwise(exact[name])
-            ).alias(name)
-            for name in FIELDS
-        ]
-        return F.when(is_object(item), F.struct((i + 1).cast("int").alias("pos"), *texts))
 
-    exploded = rows.select(*REPLY_KEY, F.explode_outer(F.transform("items", record)).alias("r"))
-    return exploded.where(F.col("r").isNotNull()).select(*REPLY_KEY, "r.*")
+def _numbered(record: Column, i: Column, finish: Callable[[Column], Column]) -> Column:
+    texts = [finish(record[name]).alias(name) for name in FIELDS]
+    return F.when(record.isNotNull(), F.struct((i + 1).cast("int").alias("pos"), *texts))
 
 
 def reply_records(parsed: DataFrame) -> DataFrame:
     """The three fields of every object item as text; other items are left out."""
-    return _records(parsed, lambda text: text)
+    as_text = F.transform(
+        F.col("texts"), lambda t, i: _numbered(t, i, lambda c: F.coalesce(c, F.lit("")))
+    )
+    objects = F.filter(as_text, lambda r: r.isNotNull())
+    return _with_texts(parsed).select(*REPLY_KEY, F.inline(objects))
+
+
+def check_replies(parsed: DataFrame) -> DataFrame:
+    """One row per reply: http_error, has_list and ``records``, those that pass the rule.
 
+    Checked inside the array, so each field is worked out once and only good records are exploded.
+    """
+    stripped_texts = F.transform(F.col("texts"), lambda t, i: _numbered(t, i, stripped))
+    good = F.filter(stripped_texts, lambda r: is_valid(*[r[name] for name in FIELDS]))
+    return _with_texts(parsed).select(*REPLY_KEY, "http_error", "has_list", good.alias("records"))
 
-def _accepted(records: DataFrame) -> DataFrame:
-    return records.where(is_valid(*[F.col(name) for name in FIELDS]))
+
+def records_of(checked: DataFrame) -> DataFrame:
+    rows = checked.select(*REPLY_KEY, F.inline_outer("records"))
+    return rows.where(F.col("pos").isNotNull())
 
 
 def valid_records(parsed: DataFrame) -> DataFrame:
     """Records that pass the acceptance rule, fields flattened and stripped."""
-    return _accepted(_records(parsed, stripped))
+    return records_of(check_replies(parsed))
 
 
 def valid_records_strict(parsed: DataFrame) -> DataFrame:
     """The same without flattening: a field that is there must be a string."""
-    items = explode_records(parsed).where(is_object(F.col("item")))
-    values = items.select(
-        *REPLY_KEY, "pos", *[field(F.col("item"), name).alias(name) for name in FIELDS]
-    )
-    all_strings = F.lit(True)
-    for name in FIELDS:
-        kind = F.schema_of_variant(F.col(name))
-        all_strings = all_strings & (F.col(name).isNull() | (kind == "STRING"))
-    texts = [
-        stripped(F.try_variant_get(F.col(name), "$", "string")).alias(name) for name in FIELDS
-    ]
-    return _accepted(values.where(all_strings).select(*REPLY_KEY, "pos", *texts))
+
+    def texts(item: Column, i: Column) -> Column:
+        all_strings = is_object(item)
+        for name in FIELDS:
+            value = field(item, name)
+            all_strings = all_strings & (
+                value.isNull() | (F.schema_of_variant(value) == "STRING")
+            )
+        fields = [
+            stripped(F.try_variant_get(item, f"$.{name}", "string")).alias(name)
+            for name in FIELDS
+        ]
+        return F.when(all_strings, F.struct((i + 1).cast("int").alias("pos"), *fields))
+
+    found = F.transform(elements(F.col("items")), texts)
+    good = F.filter(found, lambda r: is_valid(*[r[name] for name in FIELDS]))
+    return parsed.select(*REPLY_KEY, F.inline(good))

@@ -6,6 +6,9 @@ content STRING, words INT. ``texts``: doc STRING, text STRING, one row per docum
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +18,7 @@ from ..functions.text import (
     heading_number,
     heading_pieces,
     heading_title,
+    is_blank,
     piece_text,
     section_name,
     section_name_v0,
@@ -25,11 +29,10 @@ from ..session import cut_lineage
 from .pages import (
     VOLUME_PAGES,
     blank_documents,
-    drop_blank_documents,
     empty_pages,
     full_text,
     long_documents,
-    small_document_text,
+    small_documents,
 )
 from .spanning import merge_short_spanning, spanning_sections
 
@@ -113,22 +116,31 @@ def fixed_parts(
 
 
 def _routed(texts: DataFrame, min_words: int, part_size: int) -> DataFrame:
-    """Per document an array of sections: by heading if there is any, else by size."""
-    pieces = drop_blank_documents(texts).select(
-        "doc", "text", heading_pieces(F.col("text")).alias("pieces")
-    )
+    """Replaces ``text`` by ``found``, an array of sections: by heading if any, else by size."""
+    rest = [c for c in texts.columns if c != "text"]
+    pieces = texts.select(*rest, "text", heading_pieces(F.col("text")).alias("pieces"))
     has_headings = F.size("pieces") > 1
     by_heading = F.transform(_after_preamble(F.col("pieces")), _heading)
     by_size = _parts(F.col("text"), part_size, min_words)
-    return pieces.select("doc", F.when(has_headings, by_heading).otherwise(by_size).alias("found"))
+    return pieces.select(
+        *rest,
+        is_blank(F.col("text")).alias("blank"),
+        has_headings.alias("has_headings"),
+        F.when(has_headings, by_heading).otherwise(by_size).alias("found"),
+    )
+
+
+def _rows(routed: DataFrame) -> DataFrame:
+    # The outer form keeps the optimizer from deriving a filter that would split a second time.
+    rows = routed.select("doc", F.inline_outer("found"))
+    return rows.where(F.col("seq").isNotNull())
 
 
 def routed_sections(
     texts: DataFrame, min_words: int = MIN_WORDS, part_size: int = PART_SIZE
 ) -> DataFrame:
-    # The outer form keeps the optimizer from deriving a filter that would split a second time.
-    rows = _routed(texts, min_words, part_size).select("doc", F.inline_outer("found"))
-    return rows.where(F.col("seq").isNotNull())
+    """Sections of each document by heading, or by size where it has no heading."""
+    return _rows(_routed(texts, min_words, part_size))
 
 
 def short_sections(sections: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -180,54 +192,126 @@ def last_write_wins(sections: DataFrame) -> DataFrame:
     return kept.select("doc", "last.seq", "last.kind", "title", "last.content", "last.words")
 
 
-def split_documents(
+@dataclass(frozen=True)
+class RoutedDocuments:
+    """Every document's sections before the length rule.
+
+    ``small``: one row per document of at most one volume, its sections in the array ``found``.
+    ``long``: section rows of longer documents and ``long_pages`` their pages, or None.
+    """
+
+    small: DataFrame
+    long: DataFrame | None
+    long_pages: DataFrame | None
+    min_words: int
+    part_size: int
+
+    def kept(self) -> RoutedDocuments:
+        """The same, written once for several readers."""
+        return replace(self, small=cut_lineage(self.small))
+
+    def rows(self) -> DataFrame:
+        rows = _rows(self.small)
+        return rows if self.long is None else rows.unionByName(self.long)
+
+    def sections(self) -> DataFrame:
+        """Long sections and merged short ones; of equal titles the last."""
+        sections = _finished(self.small, self.min_words, self.part_size)
+        if self.long is not None:
+            merged = merge_short_spanning(
+                short_sections(self.long, self.min_words), self.min_words, self.part_size
+            )
+            sections = sections.unionByName(long_sections(self.long, self.min_words))
+            sections = sections.unionByName(merged)
+        return last_write_wins(sections)
+
+    def log(self) -> DataFrame:
+        """What was left out or merged: doc, event, page_number, title, n."""
+        log = _small_log(self.small, self.min_words)
+        if self.long is not None:
+            log = log.unionByName(_long_log(self.long_pages, self.long, self.min_words))
+        return log
+
+
+def route_documents(
     pages: DataFrame,
     min_words: int = MIN_WORDS,
     part_size: int = PART_SIZE,
     volume_pages: int = VOLUME_PAGES,
-) -> DataFrame:
-    """The whole split: clean pages, assemble, section, merge short ones, last write wins.
+) -> RoutedDocuments:
+    """Clean and assemble pages, then cut each document by heading or by size.
 
-    Documents of up to ``volume_pages`` pages are assembled in one shuffle by document, which the
-    last step reuses. Longer ones are never gathered: they go through ``spanning``. Whether there
-    are any is asked once, with a page filter the scan's statistics answer.
+    Documents of up to ``volume_pages`` pages are assembled in one shuffle by document, which later
+    steps by document reuse. Longer ones are never gathered: they go through ``spanning``. Whether
+    there are any is asked once, with a page filter the scan's statistics answer.
     """
     long_docs = long_documents(pages, volume_pages)
     if long_docs.isEmpty():
-        texts = small_document_text(pages)
-        return last_write_wins(_finished(_routed(texts, min_words, part_size), min_words, part_size))
-    texts = small_document_text(pages.join(long_docs, "doc", "left_anti"))
-    small = _finished(_routed(texts, min_words, part_size), min_words, part_size)
-    volumes = full_text(pages.join(long_docs, "doc", "left_semi"), volume_pages)
-    found = cut_lineage(spanning_sections(volumes, min_words, part_size))
-    large = long_sections(found, min_words).unionByName(
-        merge_short_spanning(short_sections(found, min_words), min_words, part_size)
-    )
-    return last_write_wins(small.unionByName(large))
+        small = _routed(small_documents(pages), min_words, part_size)
+        return RoutedDocuments(small, None, None, min_words, part_size)
+    small_pages = pages.join(long_docs, "doc", "left_anti")
+    small = _routed(small_documents(small_pages), min_words, part_size)
+    long_pages = pages.join(long_docs, "doc", "left_semi")
+    found = spanning_sections(full_text(long_pages, volume_pages), min_words, part_size)
+    return RoutedDocuments(small, cut_lineage(found), long_pages, min_words, part_size)
 
 
-def all_sections(
+def split_documents(
     pages: DataFrame,
     min_words: int = MIN_WORDS,
     part_size: int = PART_SIZE,
     volume_pages: int = VOLUME_PAGES,
 ) -> DataFrame:
-    """Sections of every document before the length rule, whatever the document's size."""
-    long_docs = long_documents(pages, volume_pages)
-    if long_docs.isEmpty():
-        return routed_sections(small_document_text(pages), min_words, part_size)
-    small = small_document_text(pages.join(long_docs, "doc", "left_anti"))
-    volumes = full_text(pages.join(long_docs, "doc", "left_semi"), volume_pages)
-    return routed_sections(small, min_words, part_size).unionByName(
-        spanning_sections(volumes, min_words, part_size)
+    """The whole split: clean pages, assemble, section, merge short ones, last write wins."""
+    return route_documents(pages, min_words, part_size, volume_pages).sections()
+
+
+def extraction_log(
+    pages: DataFrame,
+    min_words: int = MIN_WORDS,
+    part_size: int = PART_SIZE,
+    volume_pages: int = VOLUME_PAGES,
+) -> DataFrame:
+    """Empty pages, documents without text or headings, short sections and how many were merged."""
+    return route_documents(pages, min_words, part_size, volume_pages).log()
+
+
+def _event(event: str, **details: Column) -> Column:
+    def detail(name: str, of_type: str) -> Column:
+        return details.get(name, F.lit(None)).cast(of_type).alias(name)
+
+    return F.struct(
+        F.lit(event).alias("event"),
+        detail("page_number", "int"),
+        detail("title", "string"),
+        detail("n", "int"),
     )
 
 
-def extraction_log(pages: DataFrame, found: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """What was left out or merged: doc, event, page_number, title, n.
+def _small_log(routed: DataFrame, min_words: int) -> DataFrame:
+    """All events of a document from its one row."""
+    none = F.array().cast("array<struct<event:string,page_number:int,title:string,n:int>>")
+    short = routed.select(
+        "doc",
+        "empty_pages",
+        "blank",
+        "has_headings",
+        F.filter("found", lambda s: s["words"] < min_words).alias("short"),
+    )
+    n_short = F.size("short")
+    events = F.concat(
+        F.transform("empty_pages", lambda p: _event("empty_page", page_number=p)),
+        F.when(F.col("blank"), F.array(_event("no_text")))
+        .when(~F.col("has_headings"), F.array(_event("no_headings")))
+        .otherwise(none),
+        F.transform("short", lambda s: _event("short_section", title=s["title"], n=s["words"])),
+        F.when(n_short > 0, F.array(_event("merged_short", n=n_short))).otherwise(none),
+    )
+    return short.select("doc", F.inline(events))
 
-    ``found`` is ``all_sections(pages)``: every heading section, and parts that are long enough.
-    """
+
+def _long_log(pages: DataFrame, found: DataFrame, min_words: int) -> DataFrame:
+    """The same for documents that are not gathered, from their pages and sections."""
     blank = blank_documents(pages)
     short = short_sections(found, min_words)
     with_headings = found.where(F.col("kind") == "heading").select("doc").distinct()
@@ -237,24 +321,16 @@ def extraction_log(pages: DataFrame, found: DataFrame, min_words: int = MIN_WORD
         .join(blank, "doc", "left_anti")
         .join(with_headings, "doc", "left_anti")
     )
-    merged = short.groupBy("doc").agg(F.count("*").cast("int").alias("n"))
-    return (
-        _event(empty_pages(pages), "empty_page", page_number=F.col("page_number"))
-        .unionByName(_event(blank, "no_text"))
-        .unionByName(_event(no_headings, "no_headings"))
-        .unionByName(_event(short, "short_section", title=F.col("title"), n=F.col("words")))
-        .unionByName(_event(merged, "merged_short", n=F.col("n")))
-    )
-
-
-def _event(rows: DataFrame, event: str, **details: Column) -> DataFrame:
-    def detail(name: str, of_type: str) -> Column:
-        return details.get(name, F.lit(None)).cast(of_type).alias(name)
-
-    return rows.select(
-        "doc",
-        F.lit(event).alias("event"),
-        detail("page_number", "int"),
-        detail("title", "string"),
-        detail("n", "int"),
-    )
+    n_merged = short.groupBy("doc").agg(F.count("*").alias("n"))
+    parts = [
+        empty_pages(pages).select(
+            "doc", _event("empty_page", page_number=F.col("page_number")).alias("e")
+        ),
+        blank.select("doc", _event("no_text").alias("e")),
+        no_headings.select("doc", _event("no_headings").alias("e")),
+        short.select(
+            "doc", _event("short_section", title=F.col("title"), n=F.col("words")).alias("e")
+        ),
+        n_merged.select("doc", _event("merged_short", n=F.col("n")).alias("e")),
+    ]
+    return reduce(DataFrame.unionByName, parts).select("doc", "e.*")

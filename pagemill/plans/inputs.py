@@ -40,38 +40,34 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     four; some pages empty, some with control characters. Some documents have a blank twin."""
     docs = documents(spark, sf_dir)
     number = "doc_id % 9 + 1"
-    heading = F.expr(f"""
-        CASE WHEN doc_id % 5 = 0
-             THEN format_string('%d.%d Overview .... %d', {number}, (i div 6) % 3 + 1, i + 3)
-             WHEN doc_id % 7 = 0
-             THEN format_string('%d.%d', {number}, i div 6 + 1)
-             ELSE format_string('%d.%d %s/%s: topic %d .... %d',
-                                {number}, i div 6 + 1, lang, source, i div 6 + 1, i + 3)
-        END""")
-    lines = docs.select(
-        "doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("i", "line")
-    )
-    marked = lines.select(
+    marked = F.expr(f"""
+        transform(split(text, '\\n'), (line, i) -> CASE
+          WHEN doc_id % 4 = 0 OR i % {LINES_PER_HEADING} <> 0 THEN line
+          WHEN doc_id % 5 = 0
+          THEN format_string('%d.%d Overview .... %d\\n%s', {number}, (i div 6) % 3 + 1, i + 3, line)
+          WHEN doc_id % 7 = 0
+          THEN format_string('%d.%d\\n%s', {number}, i div 6 + 1, line)
+          ELSE format_string('%d.%d %s/%s: topic %d .... %d\\n%s',
+                             {number}, i div 6 + 1, lang, source, i div 6 + 1, i + 3, line)
+        END)""")
+    paged = docs.select("doc_id", marked.alias("lines")).select(
         "doc_id",
-        F.col("i"),
-        F.when(
-            F.expr(f"doc_id % 4 <> 0 AND i % {LINES_PER_HEADING} = 0"),
-            F.concat(heading, F.lit("\n"), F.col("line")),
-        )
-        .otherwise(F.col("line"))
-        .alias("line"),
-    )
-    in_order = F.sort_array(F.collect_list(F.struct("i", "line")))
-    paged = marked.groupBy(
-        "doc_id", F.expr(f"CAST(i div {LINES_PER_PAGE} + 1 AS INT)").alias("page_number")
-    ).agg(F.array_join(F.transform(in_order, lambda r: r["line"]), "\n").alias("text"))
+        F.posexplode(
+            F.expr(f"""
+                transform(sequence(0, (size(lines) - 1) div {LINES_PER_PAGE}), p ->
+                  array_join(slice(lines, CAST(p * {LINES_PER_PAGE} + 1 AS INT), {LINES_PER_PAGE}),
+                             '\\n'))""")
+        ).alias("i", "text"),
+    ).select("doc_id", (F.col("i") + 1).cast("int").alias("page_number"), "text")
     text = (
         F.when(F.col("page_number") % 14 == 0, F.lit(None).cast("string"))
         .when(F.col("page_number") % 7 == 0, F.lit(""))
         .when(F.col("page_number") % 3 == 0, F.concat(F.lit("\x07\x0c"), F.col("text")))
         .otherwise(F.col("text"))
     )
-    full = paged.select(F.format_string("d%d", "doc_id").alias("doc"), "page_number", text.alias("text"))
+    full = paged.select(
+        F.format_string("d%d", "doc_id").alias("doc"), "page_number", text.alias("text")
+    )
     twins = docs.where(F.col("doc_id") % 13 == 5).select(
         F.format_string("blank%d", "doc_id").alias("doc"),
         F.posexplode(F.array(F.lit(""), F.lit(" \n"))).alias("i", "text"),

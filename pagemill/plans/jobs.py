@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.chunks import build_request, chunk_words, sendable_chunks, small_chunks, token_budget
+from ..operators.chunks import (
+    build_request,
+    chunk_words,
+    resume_filter,
+    sendable_chunks,
+    small_chunks,
+    token_budget,
+)
 from ..operators.pages import VOLUME_PAGES
 from ..operators.records import (
     MAX_RETRIES,
@@ -12,13 +19,11 @@ from ..operators.records import (
     advance_progress,
     classify_failures,
 )
-from ..operators.replies import parse_replies, valid_records
+from ..operators.replies import check_replies, parse_replies, records_of
 from ..operators.sections import (
     MIN_WORDS,
     PART_SIZE,
-    all_sections,
-    extraction_log,
-    split_documents,
+    route_documents,
 )
 from ..operators.training import (
     MAX_LEN,
@@ -28,7 +33,6 @@ from ..operators.training import (
     project_text,
     render_training_text,
 )
-from ..operators.chunks import resume_filter
 from ..session import cut_lineage
 from ..sources.readers import check_chunking, read_existing_keys, read_progress, read_qa
 from ..sources.writers import (
@@ -48,9 +52,10 @@ def split_job(
     part_size: int = PART_SIZE,
     volume_pages: int = VOLUME_PAGES,
 ) -> None:
-    write_sections(split_documents(pages, min_words, part_size, volume_pages), sections_dir)
-    found = all_sections(pages, min_words, part_size, volume_pages)
-    write_extract_log(extraction_log(pages, found, min_words), log_dir)
+    """Sections and extraction log from one pass over the pages."""
+    routed = route_documents(pages, min_words, part_size, volume_pages).kept()
+    write_sections(routed.sections(), sections_dir)
+    write_extract_log(routed.log(), log_dir)
 
 
 def request_job(
@@ -81,10 +86,11 @@ def accept_job(
     budget = token_budget(max_context)
     progress = read_progress(spark, progress_dir)
     check_chunking(progress, budget.target, budget.overlap)
-    parsed = parse_replies(resume_filter(responses, progress))
+    waiting = resume_filter(responses, progress)
+    checked = cut_lineage(check_replies(parse_replies(waiting)))
     existing = read_existing_keys(spark, qa_dir)
-    accepted = cut_lineage(accept_attempts(valid_records(parsed), existing, max_retries))
-    failures = classify_failures(parsed, accepted, small, max_retries=max_retries)
+    accepted = cut_lineage(accept_attempts(records_of(checked), existing, max_retries))
+    failures = classify_failures(checked, accepted, small, max_retries=max_retries)
     append_failures(failures, failures_dir)
     append_qa(accepted, qa_dir)
     write_progress(

@@ -549,6 +549,10 @@ LEFT JOIN (SELECT doc, count(*) AS n_sections FROM finals GROUP BY doc) f ON f.d
     "sections_final": query(*SECTION_CTES, MERGED, WRITTEN, select=FINAL),
     "sections_long_documents": query(*SECTION_CTES, MERGED, WRITTEN, select=FINAL),
     "extraction_log": query(*SECTION_CTES, BLANKS, select=LOG),
+    "extraction_log_long_documents": query(*SECTION_CTES, BLANKS, select=LOG),
+    "nonblank_documents": query(
+        PAGES, select=f"SELECT doc, text FROM texts WHERE {strip('text')} <> ''"
+    ),
     "reply_arrays": query(
         RESPONSES,
         PARSED,
@@ -583,9 +587,9 @@ chosen AS (
 items AS (
   SELECT rel_path, chunk_index, attempt, unnest(items) AS item,
          CAST(generate_subscripts(items, 1) AS INTEGER) AS pos FROM chosen)""",
-        select=f"""SELECT rel_path, chunk_index, attempt, pos,
+        select="""SELECT rel_path, chunk_index, attempt, pos,
        json_type(item) = 'OBJECT' AS is_object,
-       CASE WHEN json_type(item) = 'OBJECT' THEN {strip(flat("instruction"))} END AS instruction
+       json_extract_string(item, '$.instruction') AS instruction
 FROM items""",
     ),
     "accepted_records": query(

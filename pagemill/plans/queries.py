@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.replies import field, flatten_value, is_object, stripped
+from ..functions.replies import elements, is_object
 from ..functions.text import split_words, word_count
 from ..operators import chunks as ck
 from ..operators import pages as pg
@@ -17,6 +17,7 @@ from ..operators import records as rc
 from ..operators import replies as rp
 from ..operators import sections as sc
 from ..operators import training as tr
+from ..session import cut_lineage
 from ..streaming import incremental as inc
 from . import inputs
 
@@ -211,8 +212,15 @@ def sections_long_documents(spark, sf_dir):
 
 
 def extraction_log(spark, sf_dir):
-    pages = inputs.pages(spark, sf_dir)
-    return sc.extraction_log(pages, sc.all_sections(pages, MIN_WORDS, PART_SIZE), MIN_WORDS)
+    return sc.extraction_log(inputs.pages(spark, sf_dir), MIN_WORDS, PART_SIZE)
+
+
+def extraction_log_long_documents(spark, sf_dir):
+    return sc.extraction_log(inputs.pages(spark, sf_dir), MIN_WORDS, PART_SIZE, volume_pages=3)
+
+
+def nonblank_documents(spark, sf_dir):
+    return pg.drop_blank_documents(_texts(spark, sf_dir))
 
 
 # Replies and records
@@ -224,13 +232,13 @@ def _parsed(spark, sf_dir):
 
 def reply_arrays(spark, sf_dir):
     return _parsed(spark, sf_dir).select(
-        *rp.REPLY_KEY, "http_error", F.size("items").alias("n_items")
+        *rp.REPLY_KEY, "http_error", F.size(elements(F.col("items"))).alias("n_items")
     )
 
 
 def _scanned(spark, sf_dir, **how):
     found = rp.scan_replies(inputs.responses(spark, sf_dir), **how)
-    return found.select(*rp.REPLY_KEY, F.size("items").alias("n_items"))
+    return found.select(*rp.REPLY_KEY, F.size(elements(F.col("items"))).alias("n_items"))
 
 
 def reply_arrays_scan(spark, sf_dir):
@@ -273,23 +281,26 @@ def exclude_existing(spark, sf_dir):
 def first_parsed(spark, sf_dir):
     scanned = rp.scan_replies(inputs.responses(spark, sf_dir))
     item = F.col("item")
-    instruction = F.when(is_object(item), stripped(flatten_value(field(item, "instruction"))))
+    instruction = F.try_variant_get(item, "$.instruction", "string")
     return rc.first_parsed_attempt(scanned).select(
         *ROW_KEY, is_object(item).alias("is_object"), instruction.alias("instruction")
     )
 
 
 def _fresh(spark, sf_dir):
+    """Replies of chunks not yet done, checked; written once, as records and reports read them."""
     waiting = ck.resume_filter(
         inputs.responses(spark, sf_dir), inputs.reply_progress(spark, sf_dir)
     )
-    return rp.parse_replies(waiting)
+    return cut_lineage(rp.check_replies(rp.parse_replies(waiting)))
+
+
+def _accept(spark, sf_dir, fresh):
+    return rc.accept_attempts(rp.records_of(fresh), _existing(spark, sf_dir))
 
 
 def accepted_records(spark, sf_dir):
-    return rc.accept_attempts(
-        rp.valid_records(_fresh(spark, sf_dir)), _existing(spark, sf_dir)
-    )
+    return _accept(spark, sf_dir, _fresh(spark, sf_dir))
 
 
 def accepted_records_run(spark, sf_dir):
@@ -308,7 +319,8 @@ def completed_chunks(spark, sf_dir):
 
 
 def failures(spark, sf_dir):
-    return rc.classify_failures(_fresh(spark, sf_dir), accepted_records(spark, sf_dir))
+    fresh = _fresh(spark, sf_dir)
+    return rc.classify_failures(fresh, _accept(spark, sf_dir, fresh))
 
 
 def failure_counts(spark, sf_dir):
@@ -421,6 +433,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         sections_final,
         sections_long_documents,
         extraction_log,
+        extraction_log_long_documents,
+        nonblank_documents,
         reply_arrays,
         reply_arrays_scan,
         reply_arrays_scan_strict,

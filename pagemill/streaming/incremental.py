@@ -16,7 +16,7 @@ from ..operators.chunks import (
     token_budget,
 )
 from ..operators.records import MAX_RETRIES, accept_attempts, classify_failures
-from ..operators.replies import parse_replies, valid_records
+from ..operators.replies import check_replies, parse_replies, records_of
 from ..session import cut_lineage
 from ..sources.paths import path_exists
 from ..sources.readers import PROGRESS_SCHEMA, any_case_glob, file_path, qa_path, relative_to
@@ -98,15 +98,15 @@ def accept_batch(
     """One batch of replies against what all other batches stored; safe to repeat."""
     spark = responses.sparkSession
     fresh = resume_filter(responses, store.done(spark, batch_id))
-    parsed = parse_replies(fresh)
+    checked = cut_lineage(check_replies(parse_replies(fresh)))
     # Only files with replies in this batch can clash, so the rest of the store is left out early.
     files = fresh.select("rel_path").distinct()
     existing = store.existing_keys(spark, batch_id).join(files, "rel_path", "left_semi")
-    accepted = cut_lineage(accept_attempts(valid_records(parsed), existing, max_retries))
+    accepted = cut_lineage(accept_attempts(records_of(checked), existing, max_retries))
     _write_batch(accepted, store.qa, batch_id, "json")
     marks = accepted.groupBy("rel_path").agg(F.max("chunk_index").alias("done"))
     _write_batch(marks, store.progress, batch_id)
-    failures = classify_failures(parsed, accepted, max_retries=max_retries)
+    failures = classify_failures(checked, accepted, max_retries=max_retries)
     _write_batch(failures, store.failures, batch_id, "json")
 
 

@@ -85,16 +85,16 @@ def test_progress(spark):
 
 
 def test_failures(spark):
-    parsed = spark.createDataFrame(
+    checked = spark.createDataFrame(
         [
-            ("f", 1, 1, "HTTP 500", None), ("f", 1, 2, None, None), ("f", 1, 3, None, [1]),
-            ("f", 2, 1, None, [1]), ("f", 2, 2, None, [1]), ("f", 3, 1, None, [1]), ("f", 3, 2, None, None),
+            ("f", 1, 1, "HTTP 500", False), ("f", 1, 2, None, False), ("f", 1, 3, None, True),
+            ("f", 2, 1, None, True), ("f", 2, 2, None, True), ("f", 3, 1, None, True), ("f", 3, 2, None, False),
         ],
-        "rel_path string, chunk_index int, attempt int, http_error string, items array<int>",
+        "rel_path string, chunk_index int, attempt int, http_error string, has_list boolean",
     )
     accepted = frame(spark, [("f", 1, 3, 1, "a"), ("f", 3, 1, 1, "b")])
     small = spark.createDataFrame([("f", 4)], "rel_path string, chunk_index int")
-    found = {tuple(r)[1:4] for r in rc.classify_failures(parsed, accepted, small).collect()}
+    found = {tuple(r)[1:4] for r in rc.classify_failures(checked, accepted, small).collect()}
     assert found == {
         (1, 1, "http_error"), (1, 2, "no_json"), (2, 1, "no_valid_objects"), (2, 2, "no_valid_objects"),
         (4, None, "too_small"),

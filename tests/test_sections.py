@@ -43,17 +43,17 @@ def test_later_section_of_the_same_title_wins(spark):
 
 def test_all_pages_empty(spark):
     pages = spark.createDataFrame([("d", 1, ""), ("d", 2, None)], PAGES)
-    found = sc.all_sections(pages)
-    assert found.count() == 0
-    log = sc.extraction_log(pages, found)
-    assert Counter(r["event"] for r in log.collect()) == {"empty_page": 2, "no_text": 1}
+    for volume_pages in (1000, 1):
+        assert sc.route_documents(pages, volume_pages=volume_pages).rows().count() == 0
+        log = sc.extraction_log(pages, volume_pages=volume_pages)
+        assert Counter(r["event"] for r in log.collect()) == {"empty_page": 2, "no_text": 1}
 
 
 def test_log_events(spark):
     pages = spark.createDataFrame(
         [("a", 1, "1.1 Short\nx"), ("b", 1, "no headings here"), ("c", 1, " \n"), ("c", 2, "")], PAGES
     )
-    log = sc.extraction_log(pages, sc.all_sections(pages, 5, 100), 5)
+    log = sc.extraction_log(pages, 5, 100)
     found = {(r["doc"], r["event"], r["page_number"], r["title"], r["n"]) for r in log.collect()}
     assert found == {
         ("a", "short_section", None, "1.1_Short", 3),
