@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank, strip_control_chars
+from ..session import cut_lineage
 
 # Pages gathered into one row at most. A longer document becomes several consecutive volumes.
 VOLUME_PAGES = 1000
 PAGE_BREAK = "\n\n"
+# Longest list of document names sent to every task, and the number of salts beyond it.
+BROADCAST_DOCS = 500_000
+SALTS = 256
 
 
 def has_text() -> F.Column:
@@ -69,6 +73,30 @@ def long_documents(pages: DataFrame, volume_pages: int = VOLUME_PAGES) -> DataFr
     return pages.where(F.col("page_number") > volume_pages).select("doc").distinct()
 
 
+def part_by_length(
+    pages: DataFrame, volume_pages: int = VOLUME_PAGES
+) -> tuple[DataFrame, DataFrame | None]:
+    """Pages of documents of one volume, and those of longer documents or None.
+
+    The list of long documents is counted first. Up to ``BROADCAST_DOCS`` it goes to every task and
+    no page moves. A longer list is joined with pages salted by page number, so that the pages of
+    one huge document never meet in one task.
+    """
+    long_docs = long_documents(pages, volume_pages)
+    if long_docs.isEmpty():
+        return pages, None
+    long_docs = cut_lineage(long_docs)
+    if long_docs.count() <= BROADCAST_DOCS:
+        salted, ids, keys = pages, F.broadcast(long_docs), ["doc"]
+    else:
+        salted = pages.withColumn("salt", F.pmod("page_number", F.lit(SALTS)))
+        every_salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        ids, keys = long_docs.select("doc", every_salt.alias("salt")), ["doc", "salt"]
+    small = salted.join(ids, keys, "left_anti").select(*pages.columns)
+    long = salted.join(ids, keys, "left_semi").select(*pages.columns)
+    return small, long
+
+
 def blank_documents(pages: DataFrame) -> DataFrame:
     """Documents without any text left after cleaning, all-empty ones included."""
     text = strip_control_chars(F.coalesce(F.col("text"), F.lit("")))

@@ -31,7 +31,7 @@ from .pages import (
     blank_documents,
     empty_pages,
     full_text,
-    long_documents,
+    part_by_length,
     small_documents,
 )
 from .spanning import merge_short_spanning, spanning_sections
@@ -245,13 +245,10 @@ def route_documents(
     steps by document reuse. Longer ones are never gathered: they go through ``spanning``. Whether
     there are any is asked once, with a page filter the scan's statistics answer.
     """
-    long_docs = long_documents(pages, volume_pages)
-    if long_docs.isEmpty():
-        small = _routed(small_documents(pages), min_words, part_size)
-        return RoutedDocuments(small, None, None, min_words, part_size)
-    small_pages = pages.join(long_docs, "doc", "left_anti")
+    small_pages, long_pages = part_by_length(pages, volume_pages)
     small = _routed(small_documents(small_pages), min_words, part_size)
-    long_pages = pages.join(long_docs, "doc", "left_semi")
+    if long_pages is None:
+        return RoutedDocuments(small, None, None, min_words, part_size)
     found = spanning_sections(full_text(long_pages, volume_pages), min_words, part_size)
     return RoutedDocuments(small, cut_lineage(found), long_pages, min_words, part_size)
 

@@ -172,11 +172,14 @@ def _heading_sections(volumes: DataFrame) -> DataFrame:
     )
 
 
-def _fixed_parts(pieces: DataFrame, part_size: int, min_words: int) -> DataFrame:
+def _fixed_parts(
+    pieces: DataFrame, part_size: int, min_words: int, skipped: DataFrame | None = None
+) -> DataFrame:
     """Cut a document given as ordered ``pieces`` (doc, ord, text) every ``part_size`` code points.
 
     Each piece learns from running lengths where it lies in the stripped whole and cuts itself at
-    the part boundaries; fragments of one part are then put together.
+    the part boundaries; fragments of one part are then put together. Documents in ``skipped`` are
+    left out; only the narrow rows are joined by document.
     """
     length = F.length("text")
     blank = is_blank(F.col("text"))
@@ -187,6 +190,8 @@ def _fixed_parts(pieces: DataFrame, part_size: int, min_words: int) -> DataFrame
         F.when(~blank, length - F.length(lstrip(F.col("text")))).alias("first"),
         F.when(~blank, F.length(rstrip(F.col("text")))).alias("end"),
     )
+    if skipped is not None:
+        sizes = sizes.join(skipped, "doc", "left_anti")
     gap = len(PAGE_BREAK)
     placed = sizes.withColumn(
         "at", F.coalesce(F.sum(F.col("len") + gap).over(_before("ord")), F.lit(0).cast("long"))
@@ -225,9 +230,8 @@ def spanning_sections(volumes: DataFrame, min_words: int, part_size: int) -> Dat
     volumes = cut_lineage(volumes)
     by_heading = cut_lineage(_heading_sections(volumes))
     with_headings = by_heading.select("doc").distinct()
-    plain = volumes.join(with_headings, "doc", "left_anti")
-    pieces = plain.select("doc", F.col("volume").alias("ord"), "text")
-    by_size = _fixed_parts(pieces, part_size, min_words).select(
+    pieces = volumes.select("doc", F.col("volume").alias("ord"), "text")
+    by_size = _fixed_parts(pieces, part_size, min_words, skipped=with_headings).select(
         "doc",
         (F.col("k") + 1).alias("seq"),
         F.lit("part").alias("kind"),

@@ -88,7 +88,8 @@ def accept_job(
     check_chunking(progress, budget.target, budget.overlap)
     waiting = resume_filter(responses, progress)
     checked = cut_lineage(check_replies(parse_replies(waiting)))
-    existing = read_existing_keys(spark, qa_dir)
+    files = checked.select("rel_path").distinct()
+    existing = read_existing_keys(spark, qa_dir).join(files, "rel_path", "left_semi")
     accepted = cut_lineage(accept_attempts(records_of(checked), existing, max_retries))
     failures = classify_failures(checked, accepted, small, max_retries=max_retries)
     append_failures(failures, failures_dir)

@@ -180,3 +180,12 @@ def test_parts_of_a_long_document_keep_whole_text(spark):
     whole = rows(sc.split_documents(pages, 1, 17), "title", "content")
     parted = rows(sc.split_documents(pages, 1, 17, volume_pages=2), "title", "content")
     assert whole == parted and len(whole) > 50
+
+
+def test_many_long_documents_are_told_apart_by_salted_join(spark, monkeypatch):
+    pages = spark.createDataFrame(
+        [(f"d{d}", n, f"1.{n} T\nword {n}") for d in range(9) for n in range(1, d + 2)], PAGES
+    )
+    expected = rows(sc.split_documents(pages, 1, 50), "doc", "title", "content")
+    monkeypatch.setattr(pg, "BROADCAST_DOCS", 1)
+    assert rows(sc.split_documents(pages, 1, 50, 3), "doc", "title", "content") == expected
