@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.replies import FIELDS, elements
@@ -73,42 +73,42 @@ def accept_attempts(
     whole run. Its new records are kept; the chunk's later attempts are ignored.
 
     Which attempt a chunk ends with depends on the chunks before it. Instead of walking a file in
-    one task, all chunks are settled side by side in rounds over narrow (scope, chunk, attempt,
+    one task, all chunks are settled side by side in rounds over narrow (scope, place, attempt,
     key) rows. In a round, with keys already seen dropped, a chunk settles on its earliest attempt
     left if that is its last one, or if it holds a key no earlier unsettled chunk might bring. At
-    least the first unsettled chunk of every scope does, and usually nearly all do. Only the
-    unsettled rows, a shrinking set, go on to the next round.
+    least the first unsettled chunk of every scope does, and usually nearly all do. Only the rows
+    of unsettled chunks, a shrinking set, go on to the next round.
     """
     records = records.where(F.col("attempt") <= max_retries)
     if existing is not None:
         keys = RECORD_KEY if scope == "run" else ["rel_path", *RECORD_KEY]
         records = records.join(existing.select(*keys).distinct(), keys, "left_anti")
-    # Read twice below; written once, so replies are parsed once.
+    # Read in every round's first steps and at the end; written once, so replies are parsed once.
     records = cut_lineage(records.select(*RECORD_COLUMNS))
 
     in_file = scope != "run"
-    place = F.struct("chunk_index") if in_file else F.struct("rel_path", "chunk_index")
+    place = F.col("chunk_index") if in_file else F.struct("rel_path", "chunk_index")
     scope_id = F.col("rel_path") if in_file else F.lit("")
     rows = records.select(
         scope_id.alias("scope"), place.alias("place"), "attempt", _key_hash().alias("key")
-    ).distinct()
+    )
 
     decided = None
-    undecided = cut_lineage(_settle(rows))
     while True:
-        chosen = undecided.where("settled and attempt = current")
-        picks = chosen.select("scope", "place", "attempt").distinct()
-        decided = picks if decided is None else decided.unionByName(picks)
-        waiting = undecided.where("not settled")
-        if waiting.isEmpty():
+        chunks = cut_lineage(_settle(rows))
+        settled = chunks.where("settled").select("scope", "place", F.col("current").alias("attempt"))
+        decided = settled if decided is None else decided.unionByName(settled)
+        unsettled = chunks.where("not settled").select("scope", "place")
+        if unsettled.isEmpty():
             break
+        waiting = rows.join(unsettled, ["scope", "place"], "left_semi")
+        chosen = rows.join(settled, ["scope", "place", "attempt"], "left_semi")
         seen = chosen.groupBy("scope", "key").agg(F.min("place").alias("seen_at"))
-        left = (
+        rows = cut_lineage(
             waiting.join(seen, ["scope", "key"], "left")
             .where(F.col("seen_at").isNull() | (F.col("seen_at") >= F.col("place")))
             .select("scope", "place", "attempt", "key")
         )
-        undecided = cut_lineage(_settle(left))
 
     kept = (
         records.withColumn("scope", scope_id)
@@ -128,19 +128,27 @@ def _key_hash() -> Column:
 
 
 def _settle(rows: DataFrame) -> DataFrame:
-    """Marks which chunks are settled and the attempt each is at.
+    """Per chunk the attempt it is at and whether it settles on it.
 
-    Keys are counted up before they are joined back; only a chunk's own few attempts are windowed.
+    Only aggregates, each combined before its shuffle: a key's first place and the first attempt
+    there that holds it, then per chunk its first attempt, its last, and the first with such a key.
     """
-    per_key = rows.groupBy("scope", "key").agg(F.min("place").alias("first_place"))
-    marked = rows.join(per_key, ["scope", "key"])
-    chunk = Window.partitionBy("scope", "place")
-    new_here = F.when(F.col("first_place") == F.col("place"), F.col("attempt"))
-    current, last = F.min("attempt").over(chunk), F.max("attempt").over(chunk)
-    brings_new = F.coalesce(F.min(new_here).over(chunk) == current, F.lit(False))
-    return marked.select(
-        *rows.columns, current.alias("current"), ((current == last) | brings_new).alias("settled")
+    first = F.min(F.struct("place", "attempt"))
+    firsts = rows.groupBy("scope", "key").agg(first.alias("first"))
+    nothing = F.lit(None).cast("int")
+    tries = rows.select("scope", "place", "attempt", nothing.alias("brings_new"))
+    news = firsts.select(
+        "scope", "first.place", nothing.alias("attempt"), F.col("first.attempt").alias("brings_new")
+    )
+    chunks = tries.unionByName(news).groupBy("scope", "place").agg(
+        F.min("attempt").alias("current"),
+        F.max("attempt").alias("last"),
+        F.min("brings_new").alias("brings_new"),
+    )
+    settled = (F.col("current") == F.col("last")) | F.coalesce(
+        F.col("brings_new") == F.col("current"), F.lit(False)
     )
+    return chunks.select("scope", "place", "current", settled.alias("settled"))
 
 
 def accepted_chunks(accepted: DataFrame) -> DataFrame:

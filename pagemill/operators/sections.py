@@ -250,7 +250,7 @@ def route_documents(
     if long_pages is None:
         return RoutedDocuments(small, None, None, min_words, part_size)
     found = spanning_sections(full_text(long_pages, volume_pages), min_words, part_size)
-    return RoutedDocuments(small, cut_lineage(found), long_pages, min_words, part_size)
+    return RoutedDocuments(small, found, long_pages, min_words, part_size)
 
 
 def split_documents(

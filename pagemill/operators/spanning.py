@@ -227,6 +227,7 @@ def _fixed_parts(
 
 
 def spanning_sections(volumes: DataFrame, min_words: int, part_size: int) -> DataFrame:
+    """Sections by heading, or by size for documents without one; already written, to be reread."""
     volumes = cut_lineage(volumes)
     by_heading = cut_lineage(_heading_sections(volumes))
     with_headings = by_heading.select("doc").distinct()
@@ -239,7 +240,7 @@ def spanning_sections(volumes: DataFrame, min_words: int, part_size: int) -> Dat
         "content",
         "words",
     )
-    return by_heading.unionByName(by_size)
+    return by_heading.unionByName(cut_lineage(by_size))
 
 
 def merge_short_spanning(short: DataFrame, min_words: int, part_size: int) -> DataFrame:
