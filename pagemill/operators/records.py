@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.replies import FIELDS, elements
 from ..session import cut_lineage
@@ -133,12 +134,22 @@ def _settle(rows: DataFrame) -> DataFrame:
     Only aggregates, each combined before its shuffle: a key's first place and the first attempt
     there that holds it, then per chunk its first attempt, its last, and the first with such a key.
     """
-    first = F.min(F.struct("place", "attempt"))
-    firsts = rows.groupBy("scope", "key").agg(first.alias("first"))
+    if rows.schema["place"].dataType == T.IntegerType():
+        # Packed into one number, which a hash aggregate can keep; a struct would be sorted.
+        packed = F.shiftleft(F.col("place").cast("long"), 32) + F.col("attempt")
+        first_place = F.shiftright("first", 32).cast("int")
+        first_attempt = F.col("first").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+    else:
+        packed = F.struct("place", "attempt")
+        first_place, first_attempt = F.col("first.place"), F.col("first.attempt")
+    firsts = rows.groupBy("scope", "key").agg(F.min(packed).alias("first"))
     nothing = F.lit(None).cast("int")
     tries = rows.select("scope", "place", "attempt", nothing.alias("brings_new"))
     news = firsts.select(
-        "scope", "first.place", nothing.alias("attempt"), F.col("first.attempt").alias("brings_new")
+        "scope",
+        first_place.alias("place"),
+        nothing.alias("attempt"),
+        first_attempt.alias("brings_new"),
     )
     chunks = tries.unionByName(news).groupBy("scope", "place").agg(
         F.min("attempt").alias("current"),

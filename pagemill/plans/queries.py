@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +15,7 @@ from ..operators import records as rc
 from ..operators import replies as rp
 from ..operators import sections as sc
 from ..operators import training as tr
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch
 from ..streaming import incremental as inc
 from . import inputs
 
@@ -30,12 +28,6 @@ MODEL = "local-model"
 ROW_KEY = ["rel_path", "chunk_index", "attempt", "pos"]
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the cluster's shared one; a local folder only where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared or tempfile.mkdtemp(prefix='pagemill-')}/{name}-{uuid.uuid4().hex}"
-
-
 def _documents(spark, sf_dir):
     return inputs.documents(spark, sf_dir).select(F.col("doc_id").alias("doc"), "text")
 
@@ -288,11 +280,11 @@ def first_parsed(spark, sf_dir):
 
 
 def _fresh(spark, sf_dir):
-    """Replies of chunks not yet done, checked; written once, as records and reports read them."""
+    """Replies of chunks not yet done, checked."""
     waiting = ck.resume_filter(
         inputs.responses(spark, sf_dir), inputs.reply_progress(spark, sf_dir)
     )
-    return cut_lineage(rp.check_replies(rp.parse_replies(waiting)))
+    return rp.check_replies(rp.parse_replies(waiting))
 
 
 def _accept(spark, sf_dir, fresh):
@@ -319,7 +311,7 @@ def completed_chunks(spark, sf_dir):
 
 
 def failures(spark, sf_dir):
-    fresh = _fresh(spark, sf_dir)
+    fresh = cut_lineage(_fresh(spark, sf_dir))
     return rc.classify_failures(fresh, _accept(spark, sf_dir, fresh))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,16 +14,32 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to the cluster's shared folder, so a lost executor costs no recomputed rounds."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not sc.master.startswith("local"):
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``; a local one only in local mode."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="pagemill-checkpoint-"))
-    return df.checkpoint(eager=True)
+        folder = tempfile.mkdtemp(prefix="pagemill-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder, below one folder per application."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/pagemill-{application}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write to the shared folder and read back: a lost executor costs no recomputed rounds.
+
+    A table rather than a checkpoint of rows: it is compressed, and readers that need few of its
+    columns read only those.
+    """
+    path = scratch(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
