@@ -368,8 +368,7 @@ def incremental_chunks(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
     stream = (
         spark.readStream.schema(schema)
-        .option("pathGlobFilter", "documents.parquet")
-        .parquet(sf_dir)
+        .parquet(f"{sf_dir}/documents.parque[t]")  # a pattern matches a file and a folder alike
         .select(F.format_string("d%d.txt", "doc_id").alias("rel_path"), "text")
     )
     sent, small = f"{folder}/requests", f"{folder}/small"
