@@ -40,27 +40,25 @@ def strip_line_separators(c: Column) -> Column:
     return F.translate(c, "\u2028\u2029", "")
 
 
-def parse_array(text: Column) -> Column:
-    """The list as a variant if the whole text is one non-empty JSON list, else null.
+def enclosed(text: Column) -> Column:
+    """The text parsed as the first of two elements, null where that fails."""
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_ESCAPED}"]')))
+
 
-    ``text`` starts with ``[``. The parser stops after a first complete value and ignores what
-    follows. So the text is parsed as the first of two elements, and the second must be found
-    right behind it.
+def enclosed_array(outer: Column) -> Column:
+    """The list in an ``enclosed`` text that is one non-empty JSON list (a variant), else null.
+
+    The text starts with ``[``. The parser stops after a first complete value and ignores what
+    follows, so the second element must be found right behind the first.
     """
-    outer = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_ESCAPED}"]')))
+    ends = F.try_variant_get(outer, "$[1]", "string") == END
+    nothing_more = F.try_variant_get(outer, "$[2]", "variant").isNull()
+    not_empty = F.try_variant_get(outer, "$[0][0]", "variant").isNotNull()
+    return F.when(ends & nothing_more & not_empty, F.try_variant_get(outer, "$[0]", "variant"))
 
-    def at(outer: Column, path: str, kind: str = "variant") -> Column:
-        return F.try_variant_get(outer, path, kind)
 
-    return bind(
-        outer,
-        lambda v: F.when(
-            (at(v, "$[1]", "string") == END)
-            & at(v, "$[2]").isNull()
-            & at(v, "$[0][0]").isNotNull(),
-            at(v, "$[0]"),
-        ),
-    )
+def parse_array(text: Column) -> Column:
+    return bind(enclosed(text), enclosed_array)
 
 
 def array_span(raw: Column) -> Column:

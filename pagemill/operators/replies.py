@@ -16,11 +16,12 @@ from ..functions.replies import (
     FIELDS,
     array_span,
     elements,
+    enclosed,
+    enclosed_array,
     field,
     holds_only_text,
     is_object,
     is_valid,
-    parse_array,
     printed_fields,
     scan_for_array,
     stripped,
@@ -40,8 +41,10 @@ def parse_replies(responses: DataFrame) -> DataFrame:
     its text."""
     prepare(responses.sparkSession)
     span = F.when(_answered(), array_span(F.col("raw")))
-    return responses.select(*REPLY_KEY, "http_error", span.alias("span")).withColumn(
-        "items", parse_array(F.col("span"))
+    cut = responses.select(*REPLY_KEY, "http_error", span.alias("span"))
+    outer = cut.withColumn("outer", enclosed(F.col("span")))
+    return outer.select(
+        *REPLY_KEY, "http_error", "span", enclosed_array(F.col("outer")).alias("items")
     )
 
 

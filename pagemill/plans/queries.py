@@ -388,7 +388,10 @@ def incremental_accept(spark, sf_dir):
     )
     store = inc.ReplyStore(f"{folder}/store")
     inc.incremental_accept(stream, store, f"{folder}/checkpoint")
-    schema = "rel_path string, chunk_index int, attempt int, pos int, instruction string, input string, output string"
+    schema = (
+        "rel_path string, chunk_index int, attempt int, pos int, "
+        "instruction string, input string, output string"
+    )
     return spark.read.schema(schema).json(store.qa).select(*rc.RECORD_COLUMNS)
 
 
