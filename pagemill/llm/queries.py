@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import byte_bpe, packing, secrets, simhash
+from pagemill.llm import byte_bpe, language, packing, quality, secrets, simhash
 from pagemill.llm.common import table
 
 
@@ -36,6 +36,13 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    predicted = language.predict(docs, language.learn(docs))
+    return predicted.select("doc_id", language.is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded, as digests."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -48,11 +55,18 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's counts and whether it stays."""
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_simhash_neardup": op3_simhash_neardup,
     "op5_secret_scan": op5_secret_scan,
+    "op7_language_id": op7_language_id,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -274,3 +275,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.join(named, "fp").select(
         "doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component, that with the smallest doc_id, with all its columns.
+
+    Where all doc_ids differ and none is null, the others are dropped by their ids alone. Else whole rows
+    are compared: null ids come last, equal ids are told apart by their text, and of rows that agree in
+    both any one stays; the least is combined before the shuffle.
+    """
+    found = cut_lineage(near_duplicates(docs, id_col, text_col).select("doc_id", "fp", "component_id"))
+    rows, ids = found.select(F.count("*"), F.count_distinct("doc_id")).first()
+    if rows == ids:
+        dropped = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_dropped"))
+        return docs.join(dropped, docs[id_col].cast("long") == dropped["_dropped"], "left_anti")
+
+    @F.pandas_udf("long")
+    def fp(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint((t or "").encode()) for t in texts], dtype=np.uint64).view(np.int64))
+
+    # Rows of one fingerprint have one component; its number here need only be the same for all its fingerprints.
+    nodes = cut_lineage(found.groupBy("fp").agg(F.min("component_id").alias("component_id")))
+    rooted = nodes.join(components(fingerprint_links(nodes)), nodes.fp == F.col("node"), "left")
+    groups = rooted.select(F.col("fp").alias("_fp"), F.coalesce("root", "fp").alias("_group"))
+    marked = docs.select(F.struct(*docs.columns).alias("_row")).withColumn("_fp", fp(F.col(f"_row.{text_col}").cast("string")))
+    order = F.struct(F.col(f"_row.{id_col}").isNull(), F.col(f"_row.{id_col}"), F.col(f"_row.{text_col}"))
+    least = marked.join(groups, "_fp").groupBy("_group").agg(F.min_by("_row", order).alias("_row"))
+    return least.select("_row.*")
