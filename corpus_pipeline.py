@@ -2,12 +2,55 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES = []
+from pagemill.llm import language, packing, quality, secrets, simhash
+from pagemill.session import scratch
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and their language's perplexity band keep."""
+    return quality.keep_good(docs)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language that is not ambiguous; it is learned from these documents."""
+    return language.keep_identified(docs, language.learn(docs))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash.keep_one(docs)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets in the text replaced by their kind and n_chars to match."""
+    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, packed into sequences."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), payload="ids_crc32")
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("secret_scan", secret_scan),
+    ("best_fit_packing", best_fit_packing),
+]
+
+#: Tokens, perplexities and fingerprints are beyond SQL; a plain version in the tests stands in for it.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        path = scratch(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs
