@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import byte_bpe, language, packing, quality, secrets, simhash
+from pagemill.llm import byte_bpe, html_text, language, packing, quality, secrets, simhash, topk, urls
 from pagemill.llm.common import table
 
 
@@ -18,11 +18,21 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer, payload="ids_crc32")
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    return html_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op3_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and its component."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url, judged by rule or by its words."""
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and places of secrets in every document."""
     found = secrets.scan(table(spark, sf_dir, "documents"))
@@ -60,13 +70,21 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best partners of every fiftieth vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_html_extraction": op2_html_extraction,
     "op3_simhash_neardup": op3_simhash_neardup,
+    "op4_url_filter": op4_url_filter,
     "op5_secret_scan": op5_secret_scan,
     "op7_language_id": op7_language_id,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality_rules": op9_quality_rules,
+    "op10_top_k": op10_top_k,
 }
 
 ORACLE_SQL: dict[str, str] = {}
