@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import byte_bpe, html_text, language, packing, quality, secrets, simhash, topk, urls
+from pagemill.llm import byte_bpe, html_text, language, ngram_trie, packing, quality, secrets, simhash, topk, urls
 from pagemill.llm.common import table
 
 
@@ -46,6 +46,11 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability."""
+    return ngram_trie.score(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language, learned from those that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_neardup": op3_simhash_neardup,
     "op4_url_filter": op4_url_filter,
     "op5_secret_scan": op5_secret_scan,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_language_id": op7_language_id,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality_rules": op9_quality_rules,
