@@ -191,7 +191,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, payload: str
     starts = cut_lineage(per_part.select("part", "length", "n", F.coalesce(before, F.lit(0)).alias("before")))
     counts = {r["length"]: r["n"] for r in starts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = spark.createDataFrame(best_fit(counts, capacity), "length long, first long, end long, per long, bin long, base long")
-    ranked = cut.join(starts.drop("n"), ["part", "length"]).withColumn("rank", F.col("rank") + F.col("before"))
+    ranked = cut.join(starts.drop("n").hint("merge"), ["part", "length"]).withColumn("rank", F.col("rank") + F.col("before"))
     # The plan's size is bounded by the capacity alone.
     placed = ranked.join(F.broadcast(plan), "length").where("rank >= first and rank < end")
     return placed.select(
