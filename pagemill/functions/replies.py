@@ -138,8 +138,9 @@ def printed_fields(spans):
     """The three fields of each element where some value is not text.
 
     A list prints as its elements joined by a blank, an object as JSON, null as nothing, the rest
-    as Python prints it: forms of floats, booleans and nested values that no cast gives. Called
-    with null for replies that hold only text, which pass through untouched.
+    as Python prints it: forms of floats, booleans and nested values that no cast gives. Half a
+    surrogate pair prints as a question mark, as in replies of text alone. Called with null for
+    replies that hold only text, which pass through untouched.
     """
     printed = {
         type(None): lambda value: "",
@@ -147,11 +148,14 @@ def printed_fields(spans):
         dict: lambda value: json.dumps(value, ensure_ascii=False),
     }
 
+    def whole(text):
+        return text.encode("utf-8", "replace").decode("utf-8")
+
     def fields(element):
         if not isinstance(element, dict):
             return None
         values = {name: element.get(name) for name in FIELDS}
-        return {name: printed.get(type(v), str)(v) for name, v in values.items()}
+        return {name: whole(printed.get(type(v), str)(v)) for name, v in values.items()}
 
     return spans.map(lambda span: span and [fields(element) for element in json.loads(span)])
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.chunks import (
     build_request,
     chunk_words,
+    resume_failed,
     resume_filter,
     sendable_chunks,
     small_chunks,
@@ -18,6 +19,7 @@ from ..operators.records import (
     accept_attempts,
     advance_progress,
     classify_failures,
+    completed_chunks,
 )
 from ..operators.replies import check_replies, parse_replies, records_of
 from ..operators.sections import (
@@ -34,12 +36,19 @@ from ..operators.training import (
     render_training_text,
 )
 from ..session import cut_lineage
-from ..sources.readers import check_chunking, read_existing_keys, read_progress, read_qa
+from ..sources.paths import version_numbers
+from ..sources.readers import (
+    check_chunking,
+    read_existing_keys,
+    read_finished,
+    read_progress,
+    read_qa,
+)
 from ..sources.writers import (
-    append_failures,
-    append_qa,
+    all_fields,
     write_extract_log,
     write_progress,
+    write_run,
     write_sections,
 )
 
@@ -59,18 +68,37 @@ def split_job(
 
 
 def request_job(
-    sections: DataFrame, model: str, max_context: int, progress_dir: str, requests_dir: str
+    sections: DataFrame,
+    model: str,
+    max_context: int,
+    progress_dir: str,
+    requests_dir: str,
+    retry_failed: bool = False,
 ) -> DataFrame:
-    """Write the requests still to be sent; returns the chunks too small to send."""
+    """Write the requests still to be sent; returns the chunks too small to send.
+
+    ``retry_failed`` also asks again for chunks that failed before the last finished one.
+    """
+    spark = sections.sparkSession
     budget = token_budget(max_context)
-    progress = read_progress(sections.sparkSession, progress_dir)
+    progress = read_progress(spark, progress_dir)
     check_chunking(progress, budget.target, budget.overlap)
-    chunks = chunk_words(sections, budget.target, budget.overlap, progress)
+    finished = read_finished(spark, progress_dir, next_run(spark, progress_dir))
+    if retry_failed and finished is not None:
+        chunks = chunk_words(sections, budget.target, budget.overlap)
+        chunks = resume_failed(chunks, finished)
+    else:
+        chunks = chunk_words(sections, budget.target, budget.overlap, progress)
     requests = build_request(sendable_chunks(chunks), model, budget.safe_tokens)
     requests.write.mode("overwrite").parquet(requests_dir)
     return small_chunks(chunks).drop("chunk")
 
 
+def next_run(spark: SparkSession, progress_dir: str) -> int:
+    """The run whose progress would be written next; a run that broke off before is this one."""
+    return max(version_numbers(spark, progress_dir), default=0) + 1
+
+
 def accept_job(
     responses: DataFrame,
     small: DataFrame,
@@ -80,20 +108,31 @@ def accept_job(
     failures_dir: str,
     max_retries: int = MAX_RETRIES,
 ) -> None:
-    """Replies to new QA records, progress and failures. Progress goes last: a rerun after a crash
-    finds records already written among the existing keys."""
+    """Replies to new QA records, progress and failures; safe to repeat.
+
+    Each run writes to folders of its own, and progress last. A rerun after a crash replaces them
+    and compares with the records of other runs only. Replies are passed over by the finished
+    chunks, not by the high-water mark, so a chunk that failed before is taken when it comes again.
+    """
     spark = responses.sparkSession
     budget = token_budget(max_context)
     progress = read_progress(spark, progress_dir)
     check_chunking(progress, budget.target, budget.overlap)
-    waiting = resume_filter(responses, progress)
+    run = next_run(spark, progress_dir)
+    finished = read_finished(spark, progress_dir, run)
+    if finished is None:  # progress that another program left: marks only
+        waiting = resume_filter(responses, progress)
+    else:
+        waiting = resume_failed(responses, finished)
     checked = cut_lineage(check_replies(parse_replies(waiting)))
     files = checked.select("rel_path").distinct()
-    existing = read_existing_keys(spark, qa_dir).join(files, "rel_path", "left_semi")
+    existing = read_existing_keys(spark, qa_dir, but=f"run={run}")
+    existing = existing.join(files, "rel_path", "left_semi")
     accepted = cut_lineage(accept_attempts(records_of(checked), existing, max_retries))
     failures = classify_failures(checked, accepted, small, max_retries=max_retries)
-    append_failures(failures, failures_dir)
-    append_qa(accepted, qa_dir)
+    write_run(failures, failures_dir, run)
+    write_run(all_fields(accepted), qa_dir, run)
+    write_run(completed_chunks(accepted), f"{progress_dir}/finished", run, "parquet")
     write_progress(
         advance_progress(progress, accepted, small), progress_dir, budget.target, budget.overlap
     )

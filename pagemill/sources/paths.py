@@ -15,6 +15,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def absolute_path(spark: SparkSession, path: str) -> str:
+    """The path's own part, from the root on, without scheme and authority."""
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.makeQualified(hadoop_path).toUri().getPath()
+
+
 def version_numbers(spark: SparkSession, folder: str) -> list[int]:
     """Numbers of the completely written ``version=N`` folders."""
     fs, hadoop_path = _file_system(spark, folder)

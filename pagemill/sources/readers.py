@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.replies import FIELDS
-from .paths import latest_version, path_exists
+from .paths import absolute_path, latest_version, path_exists
 
 PAGES_SCHEMA = "doc string, page_number int, text string"
 QA_SCHEMA = "rel_path string, instruction string, input string, output string"
 PROGRESS_SCHEMA = "rel_path string, done int"
+FINISHED_SCHEMA = "rel_path string, chunk_index int"
+SECTIONS_SCHEMA = "doc string, title string, content string"
 STORED_PROGRESS_SCHEMA = PROGRESS_SCHEMA + ", target int, overlap int"
 
 
@@ -27,8 +29,17 @@ def file_path() -> Column:
 
 
 def relative_to(path: Column, root: str) -> Column:
-    base = root.split(":", 1)[-1].strip("/") + "/"
-    return F.substring(path, F.instr(path, base) + len(base), F.length(path))
+    """The part of a scanned path below ``root``.
+
+    The folder is made absolute first, so its name may occur elsewhere in the path. A store that
+    reports files under another root (a mounted one) falls back to the first place of the name.
+    """
+    below = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    prefix = absolute_path(SparkSession.getActiveSession(), root).rstrip("/") + "/"
+    name = root.split(":", 1)[-1].strip("/") + "/"
+    return F.when(
+        below.startswith(prefix), F.substring(below, len(prefix) + 1, F.length(below))
+    ).otherwise(F.substring(path, F.instr(path, name) + len(name), F.length(path)))
 
 
 def stem(path: Column) -> Column:
@@ -71,6 +82,18 @@ def read_sections(spark: SparkSession, folder: str, ext: str = ".txt") -> DataFr
     )
 
 
+def read_section_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Sections as the split job writes them: rel_path, out_path, text, ready for requests.
+
+    The document's name is read as text, whatever it looks like.
+    """
+    rows = spark.read.schema(SECTIONS_SCHEMA).parquet(folder)
+    rel_path = F.concat_ws("/", "doc", F.concat("title", F.lit(".txt")))
+    return rows.select(
+        rel_path.alias("rel_path"), qa_path(rel_path).alias("out_path"), F.col("content").alias("text")
+    )
+
+
 def read_text_dump(spark: SparkSession, path: str) -> DataFrame:
     """One whole-text file as a document."""
     files = spark.read.text(path, wholetext=True)
@@ -86,11 +109,14 @@ def _jsonl(spark: SparkSession, folder: str, glob: str):
 
 
 def read_qa(spark: SparkSession, folder: str, glob: str = "*.json*") -> DataFrame:
-    """All QA files below ``folder`` as one table of the three fields; no files is an error."""
+    """All QA files below ``folder`` as one table of the three fields.
+
+    No files is an error, and so is a line that is not an object, when it is read.
+    """
     schema = ", ".join(f"{name} string" for name in FIELDS)
     if qa_files(spark, folder, glob).isEmpty():
         raise FileNotFoundError(f"no QA files under {folder}")
-    return _jsonl(spark, folder, glob).schema(schema).json(folder)
+    return _jsonl(spark, folder, glob).option("mode", "FAILFAST").schema(schema).json(folder)
 
 
 def qa_files(spark: SparkSession, folder: str, glob: str = "*.json*") -> DataFrame:
@@ -104,8 +130,10 @@ def qa_files(spark: SparkSession, folder: str, glob: str = "*.json*") -> DataFra
     )
 
 
-def read_existing_keys(spark: SparkSession, folder: str, glob: str = "*.json*") -> DataFrame:
-    """Distinct (rel_path, instruction, output) already written.
+def read_existing_keys(
+    spark: SparkSession, folder: str, glob: str = "*.json*", but: str | None = None
+) -> DataFrame:
+    """Distinct (rel_path, instruction, output) already written, but for the folder ``but`` in it.
 
     Lines that do not parse or lack a key field are skipped. ``rel_path`` is the line's own, or
     else the QA file's path relative to ``folder``.
@@ -124,6 +152,8 @@ def read_existing_keys(spark: SparkSession, folder: str, glob: str = "*.json*")
         & F.col("instruction").isNotNull()
         & F.col("output").isNotNull()
     )
+    if but is not None:
+        usable = usable & ~F.col("file").startswith(f"{but}/")
     return (
         lines.where(usable)
         .select(F.coalesce("rel_path", "file").alias("rel_path"), "instruction", "output")
@@ -139,6 +169,14 @@ def read_progress(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(STORED_PROGRESS_SCHEMA).parquet(version)
 
 
+def read_finished(spark: SparkSession, folder: str, but_run: int) -> DataFrame | None:
+    """Finished (rel_path, chunk_index) pairs of all runs but one; none if no run has stored any."""
+    if not path_exists(spark, f"{folder}/finished"):
+        return None
+    rows = spark.read.schema(FINISHED_SCHEMA + ", run int").parquet(f"{folder}/finished")
+    return rows.where(F.col("run") != but_run).select("rel_path", "chunk_index")
+
+
 def read_progress_json(spark: SparkSession, path: str) -> DataFrame:
     """Progress from a JSON object file; a missing or corrupt file is an empty table."""
     if not path_exists(spark, path):

@@ -35,7 +35,7 @@ def write_full_text(texts: DataFrame, folder: str) -> None:
     texts.write.mode("overwrite").parquet(folder)
 
 
-def _all_fields(records: DataFrame) -> DataFrame:
+def all_fields(records: DataFrame) -> DataFrame:
     """JSON leaves out nulls, so absent fields become empty text."""
     keys = [c for c in ("rel_path",) if c in records.columns]
     return records.select(*keys, *[F.coalesce(c, F.lit("")).alias(c) for c in FIELDS])
@@ -43,11 +43,16 @@ def _all_fields(records: DataFrame) -> DataFrame:
 
 def append_qa(records: DataFrame, folder: str) -> None:
     """Append JSON lines; non-ASCII text is written as it is."""
-    _all_fields(records).write.mode("append").json(folder)
+    all_fields(records).write.mode("append").json(folder)
 
 
 def write_qa(records: DataFrame, folder: str) -> None:
-    _all_fields(records).write.mode("overwrite").json(folder)
+    all_fields(records).write.mode("overwrite").json(folder)
+
+
+def write_run(rows: DataFrame, folder: str, run: int, format: str = "json") -> None:
+    """One run's rows in a folder of their own, replaced if the run is repeated."""
+    rows.write.mode("overwrite").format(format).save(f"{folder}/run={run}")
 
 
 def write_items(items: DataFrame, folder: str) -> None:

@@ -10,16 +10,21 @@ from pyspark.sql import functions as F
 from ..operators.chunks import (
     build_request,
     chunk_words,
-    resume_filter,
+    resume_failed,
     sendable_chunks,
     small_chunks,
     token_budget,
 )
-from ..operators.records import MAX_RETRIES, accept_attempts, classify_failures
+from ..operators.records import (
+    MAX_RETRIES,
+    accept_attempts,
+    classify_failures,
+    completed_chunks,
+)
 from ..operators.replies import check_replies, parse_replies, records_of
 from ..session import cut_lineage
 from ..sources.paths import path_exists
-from ..sources.readers import PROGRESS_SCHEMA, any_case_glob, file_path, qa_path, relative_to
+from ..sources.readers import FINISHED_SCHEMA, any_case_glob, file_path, qa_path, relative_to
 
 KEYS_SCHEMA = "rel_path string, instruction string, output string, batch_id long"
 
@@ -84,28 +89,34 @@ class ReplyStore:
         """Keys of the accepted records of all batches but ``batch_id``."""
         return _other_batches(spark, self.qa, KEYS_SCHEMA, "json", batch_id)
 
+    def finished(self, spark: SparkSession, batch_id: int | None = None) -> DataFrame:
+        """Chunks with accepted records over all batches but ``batch_id``."""
+        schema = FINISHED_SCHEMA + ", batch_id long"
+        return _other_batches(spark, self.progress, schema, "parquet", batch_id)
+
     def done(self, spark: SparkSession, batch_id: int | None = None) -> DataFrame:
-        """High-water mark per file over all batches but ``batch_id``."""
-        marks = _other_batches(
-            spark, self.progress, PROGRESS_SCHEMA + ", batch_id long", "parquet", batch_id
-        )
-        return marks.groupBy("rel_path").agg(F.max("done").alias("done"))
+        """High-water mark per file, derived from the finished chunks."""
+        pairs = self.finished(spark, batch_id)
+        return pairs.groupBy("rel_path").agg(F.max("chunk_index").alias("done"))
 
 
 def accept_batch(
     responses: DataFrame, batch_id: int, store: ReplyStore, max_retries: int = MAX_RETRIES
 ) -> None:
-    """One batch of replies against what all other batches stored; safe to repeat."""
+    """One batch of replies against what all other batches stored; safe to repeat.
+
+    Replies may arrive in any order: only chunks that are finished themselves are passed over, so
+    a chunk that failed, or comes after later ones, is still taken.
+    """
     spark = responses.sparkSession
-    fresh = resume_filter(responses, store.done(spark, batch_id))
+    fresh = resume_failed(responses, store.finished(spark, batch_id))
     checked = cut_lineage(check_replies(parse_replies(fresh)))
     # Only files with replies in this batch can clash, so the rest of the store is left out early.
     files = fresh.select("rel_path").distinct()
     existing = store.existing_keys(spark, batch_id).join(files, "rel_path", "left_semi")
     accepted = cut_lineage(accept_attempts(records_of(checked), existing, max_retries))
     _write_batch(accepted, store.qa, batch_id, "json")
-    marks = accepted.groupBy("rel_path").agg(F.max("chunk_index").alias("done"))
-    _write_batch(marks, store.progress, batch_id)
+    _write_batch(completed_chunks(accepted), store.progress, batch_id)
     failures = classify_failures(checked, accepted, max_retries=max_retries)
     _write_batch(failures, store.failures, batch_id, "json")
 

@@ -120,3 +120,58 @@ def test_jobs_end_to_end(spark, tmp_path):
     jobs.training_job(spark, path("qa"), path("vocab"), path("rows"), vocab_size=10, max_len=6)
     rows = spark.read.parquet(path("rows")).collect()
     assert len(rows) == 2 and all(len(r["input_ids"]) == len(r["labels"]) == 6 for r in rows)
+
+
+def test_replies_out_of_order_are_kept(spark, tmp_path):
+    store = inc.ReplyStore(str(tmp_path / "store"))
+    late = [("f.txt", 3, 1, reply(("C?", "3")), None)]
+    early = [
+        ("f.txt", 1, 1, reply(("A?", "1")), None),
+        ("f.txt", 2, 1, reply(("C?", "3")), None),
+    ]
+    again = [("f.txt", 2, 2, reply(("B?", "2")), None), ("f.txt", 3, 2, reply(("D?", "4")), None)]
+    for batch_id, rows in enumerate((late, early, again)):
+        inc.accept_batch(spark.createDataFrame(rows, RESPONSES), batch_id, store)
+    stored = spark.read.json(store.qa)
+    assert keys(stored.collect()) == [
+        ("f.txt", 1, 1, "A?"),
+        ("f.txt", 2, 2, "B?"),
+        ("f.txt", 3, 1, "C?"),
+    ]
+    failed = {(r["chunk_index"], r["attempt"]) for r in spark.read.json(store.failures).collect()}
+    assert failed == {(2, 1)}
+    assert [tuple(r) for r in store.done(spark).collect()] == [("f.txt", 3)]
+
+
+def test_failed_chunks_come_back_and_broken_runs_repeat(spark, tmp_path, monkeypatch):
+    folders = [str(tmp_path / n) for n in ("qa", "progress", "failures")]
+    words = " ".join(f"w{k}" for k in range(4000))
+    sections = spark.createDataFrame([("f.txt", words)], "rel_path string, text string")
+
+    def asked(retry):
+        jobs.request_job(sections, "m", 4096, folders[1], str(tmp_path / "asked"), retry)
+        sent = spark.read.parquet(str(tmp_path / "asked"))
+        return sorted(r["chunk_index"] for r in sent.collect())
+
+    def run(*rows):
+        small = spark.createDataFrame([], "rel_path string, chunk_index int, n_chunks int")
+        jobs.accept_job(spark.createDataFrame(list(rows), RESPONSES), small, 4096, *folders)
+
+    def stored():
+        return sorted(r["instruction"] for r in rd.read_qa(spark, folders[0]).collect())
+
+    assert asked(True) == [1, 2]
+    first = [("f.txt", 1, 1, "nothing", None), ("f.txt", 2, 1, reply(("B?", "2")), None)]
+    run(*first)
+    assert stored() == ["B?"] and asked(False) == [] and asked(True) == [1]
+    answer = [("f.txt", 1, 1, reply(("A?", "1")), None), ("f.txt", 1, 2, reply(("Z?", "9")), None)]
+    with monkeypatch.context() as broken:
+        broken.setattr(jobs, "write_progress", lambda *a: (_ for _ in ()).throw(OSError()))
+        try:
+            run(*answer)
+        except OSError:
+            pass
+    run(*answer)  # the same run again: it replaces what the broken one wrote
+    assert stored() == ["A?", "B?"] and asked(True) == []
+    run(*first, *answer)
+    assert stored() == ["A?", "B?"]

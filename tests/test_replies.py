@@ -170,3 +170,9 @@ def test_random_replies(spark):
         return kept
 
     assert records(parsed(spark, *raws)) == [r for raw in raws for r in expected(raw)]
+
+
+def test_half_a_surrogate_pair_prints_as_a_question_mark(spark):
+    raw = r'[{"instruction":"Why \ud800?","input":["a"],"output":"x"}]'
+    found = rp.valid_records(parsed(spark, raw)).collect()
+    assert [(r["instruction"], r["input"]) for r in found] == [("Why ??", "a")]

@@ -105,3 +105,32 @@ def test_progress_json(spark, tmp_path):
     assert {tuple(r) for r in rd.read_progress_json(spark, str(good)).collect()} == {("a/b.txt", 3), ("c.txt", 1)}
     assert rd.read_progress_json(spark, str(bad)).count() == 0
     assert rd.read_progress_json(spark, str(tmp_path / "none.json")).count() == 0
+
+
+def test_paths_below_a_folder_whose_name_occurs_before(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "sections" / "p" / "sections"
+    folder.mkdir(parents=True)
+    (folder / "a.txt").write_text("x")
+    monkeypatch.chdir(tmp_path)
+    found = rd.read_sections(spark, str(folder)).first()
+    assert (found["rel_path"], found["out_path"]) == ("a.txt", "a.jsonl")
+    assert rd.read_sections(spark, str(tmp_path / "sections")).first()["rel_path"] == "p/sections/a.txt"
+
+
+def test_broken_qa_lines_fail(spark, tmp_path):
+    good = json.dumps({"instruction": "A?", "input": "", "output": "x"})
+    for name, line in (("cut", good[:-4]), ("list", "[1,2]")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.jsonl").write_text(f"{good}\n{line}\n")
+        with pytest.raises(Exception, match="MALFORMED|FAILFAST|[Mm]alformed"):
+            rd.read_qa(spark, str(tmp_path / name)).collect()
+
+
+def test_section_table_keeps_names(spark, tmp_path):
+    rows = [("007", 1, "heading", "1.1_A", "text a", 2), ("7", 1, "heading", "1.1_A", "text b", 2)]
+    wr.write_sections(spark.createDataFrame(rows, SECTIONS), str(tmp_path / "s"))
+    found = rd.read_section_table(spark, str(tmp_path / "s")).collect()
+    assert sorted(map(tuple, found)) == [
+        ("007/1.1_A.txt", "007/1.1_A.jsonl", "text a"),
+        ("7/1.1_A.txt", "7/1.1_A.jsonl", "text b"),
+    ]
