@@ -80,15 +80,16 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A conversation is a chunk, each of its assistant turns an attempt; eight make a file.
 
-    The turn before and the turn itself, letters only, fill twelve kinds of replies: none, empty,
-    broken, wrapped, tagged, repeated and invalid ones.
+    The turn before and the turn itself, whole but for line breaks (no record may hold one), fill
+    twelve kinds of replies: none, empty, broken, wrapped, tagged, repeated and invalid ones.
     """
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    letters = F.regexp_replace("text", "[^A-Za-z ]+", " ")
+    line = F.regexp_replace("text", r"[\r\n]+", " ")
+    quoted = F.regexp_extract(F.to_json(F.struct(line.alias("t"))), r'(?s)^\{"t":"(.*)"\}$', 1)
     asked = turns.where("role = 'user'").select(
-        "conv_id", (F.col("turn") + 1).alias("turn"), letters.alias("q")
+        "conv_id", (F.col("turn") + 1).alias("turn"), quoted.alias("q")
     )
-    told = turns.where("role = 'assistant'").select("conv_id", "turn", letters.alias("o"))
+    told = turns.where("role = 'assistant'").select("conv_id", "turn", quoted.alias("o"))
     pairs = told.join(asked, ["conv_id", "turn"])
     k = "(conv_id * 7 + turn) % 12"
     records = pairs.select(

@@ -214,11 +214,11 @@ blanks AS (
 
 # Replies and records
 
-RESPONSES = """
+RESPONSES = r"""
 told AS (
   SELECT a.conv_id, a.turn, (a.conv_id * 7 + a.turn) % 12 AS k,
-         regexp_replace(u.text, '[^A-Za-z ]+', ' ', 'g') AS q,
-         regexp_replace(a.text, '[^A-Za-z ]+', ' ', 'g') AS o
+         CAST(to_json(regexp_replace(u.text, '[\r\n]+', ' ', 'g')) AS VARCHAR)[2:-2] AS q,
+         CAST(to_json(regexp_replace(a.text, '[\r\n]+', ' ', 'g')) AS VARCHAR)[2:-2] AS o
   FROM conversations a JOIN conversations u
     ON u.conv_id = a.conv_id AND u.turn = a.turn - 1
   WHERE a.role = 'assistant' AND u.role = 'user'),
