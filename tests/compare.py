@@ -97,7 +97,7 @@ def main():
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = connect(sf_dir), oracle_sql(), []
     for name, query in queries().items():
-        if wanted and name not in wanted:
+        if name not in sqls or wanted and name not in wanted:
             continue
         start = time.time()
         try:

@@ -4,6 +4,8 @@ import pytest
 from compare import connect, difference
 
 from __spark_entry__ import oracle_sql, queries
+from pagemill.plans.oracle import ORACLE_SQL
+from pagemill.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,9 +16,9 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE_SQL.keys()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query(spark, duck, name):
     assert difference(spark, duck, SF_DIR, queries()[name], oracle_sql()[name]) is None
