@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from ..functions.replies import OPENING_WORDS
 from ..operators.chunks import EARLY_PROMPT, PROMPT, token_budget
 
 WS = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+# Patterns and opening words that must equal the operators'.
 HEADING = r"(?m)^\s*(\d+(?:\.\d+)+)\s+([^\n]+)"
 BUDGET = token_budget(4096)
 
@@ -311,7 +313,7 @@ RECORDS = f"""
 records AS (
   SELECT rel_path, chunk_index, attempt, pos, {", ".join(f"{flat(f)} AS {f}" for f in FIELDS)}
   FROM items WHERE json_type(item) = 'OBJECT')"""
-VERBS = "Explain|Describe|List|Give|Summarize|Create|Formulate|Generate|Why|How|What|When|Where|Who"
+VERBS = "|".join(OPENING_WORDS)
 
 
 def valid(source: str, name: str) -> str:
@@ -345,29 +347,25 @@ progress AS (
   FROM conversations WHERE (conv_id // 8) % 3 <> 0)"""
 
 
-def accepted(candidates: str, scope: str) -> str:
-    """The sequential rule, one attempt at a time, carrying the keys kept so far."""
+def accepted(candidates: str, scope: str, order: str = "rel_path, chunk_index, attempt") -> str:
+    """The sequential rule, one attempt at a time in ``order``, carrying the keys kept so far."""
     return f"""
 candidates AS ({candidates}),
 tries AS (
-  SELECT {scope} AS scope, rel_path, chunk_index, attempt,
+  SELECT {scope} AS scope, rel_path, chunk_index, attempt, rel_path || ' ' || chunk_index AS chunk,
          list(DISTINCT {{'i': instruction, 'o': output}}) AS ks,
-         row_number() OVER (PARTITION BY {scope} ORDER BY rel_path, chunk_index, attempt) AS n
+         row_number() OVER (PARTITION BY {scope} ORDER BY {order}) AS n
   FROM candidates GROUP BY rel_path, chunk_index, attempt),
 walk AS (
-  SELECT scope, rel_path, chunk_index, attempt, n, ks AS seen, true AS taken,
-         rel_path AS last_path, chunk_index AS last_chunk
+  SELECT scope, rel_path, chunk_index, attempt, n, ks AS seen, true AS taken, [chunk] AS done
   FROM tries WHERE n = 1
   UNION ALL
   SELECT scope, rel_path, chunk_index, attempt, n,
          CASE WHEN taken THEN list_concat(seen, ks) ELSE seen END, taken,
-         CASE WHEN taken THEN rel_path ELSE last_path END,
-         CASE WHEN taken THEN chunk_index ELSE last_chunk END
+         CASE WHEN taken THEN list_append(done, chunk) ELSE done END
   FROM (
-    SELECT t.scope, t.rel_path, t.chunk_index, t.attempt, t.n, t.ks, w.seen,
-           w.last_path, w.last_chunk,
-           NOT (t.rel_path = w.last_path AND t.chunk_index = w.last_chunk)
-             AND NOT list_has_all(w.seen, t.ks) AS taken
+    SELECT t.scope, t.rel_path, t.chunk_index, t.attempt, t.chunk, t.n, t.ks, w.seen, w.done,
+           NOT list_contains(w.done, t.chunk) AND NOT list_has_all(w.seen, t.ks) AS taken
     FROM walk w JOIN tries t ON t.scope = w.scope AND t.n = w.n + 1)),
 accepted AS (
   SELECT c.* FROM candidates c
@@ -375,7 +373,7 @@ accepted AS (
     USING (rel_path, chunk_index, attempt)
   QUALIFY row_number() OVER (
     PARTITION BY {"c.rel_path" if scope == "rel_path" else "1"}, instruction, output
-    ORDER BY c.rel_path, chunk_index, attempt, pos) = 1)"""
+    ORDER BY {order}, pos) = 1)"""
 
 
 WAITING = """
@@ -445,6 +443,22 @@ SELECT rel_path, chunk_index, attempt, pos,
 FROM id_lists"""
 ENCODED_QUERY = query(*REPLIES, RENDERED, VOCAB, ENCODED, select=ENCODED_ROWS)
 
+# Written and read back
+
+TEXTS = "SELECT doc_id, coalesce(text, '') AS text FROM documents"
+STORED = "SELECT rel_path, instruction, input, output FROM accepted"
+
+
+def whole_files(columns: str) -> str:
+    return f"""SELECT {columns} FROM (
+  SELECT doc_id // 50 AS shelf, string_agg(text || chr(10), '' ORDER BY doc_id) AS text
+  FROM ({TEXTS}) GROUP BY shelf)"""
+
+
+def accepting(order: str) -> str:
+    return query(*REPLIES, accepted(ALL_VALID, "rel_path", order), select=STORED, recursive=True)
+
+
 SCAN_COLUMNS = "SELECT rel_path, chunk_index, attempt, CAST(len(items) AS INTEGER) AS n_items FROM scanned"
 SECTION_CTES = (PAGES, HEADINGS, ROUTED)
 
@@ -636,4 +650,49 @@ UNION ALL SELECT NULL, count(*) FROM kept""",
         select=f"SELECT {RECORD_COLUMNS} FROM accepted",
         recursive=True,
     ),
+    "listed_documents": "SELECT DISTINCT doc_id // 50 AS shelf, true AS bare_name FROM documents",
+    "text_dumps": whole_files("text"),
+    "page_text_files": f"""
+SELECT CAST(row_number() OVER (PARTITION BY doc_id // 50 ORDER BY doc_id) AS INTEGER) AS page_number, text
+FROM ({TEXTS})""",
+    "page_table": query(PAGES, select="SELECT doc, page_number, text FROM raw_pages"),
+    "section_files": whole_files("'shelf=' || shelf AS folder, true AS same_stem, text"),
+    "input_files": "SELECT count(DISTINCT doc_id // 50) AS n_files FROM documents",
+    "section_table": query(
+        *SECTION_CTES,
+        MERGED,
+        WRITTEN,
+        select=f"""SELECT doc || '/' || title || '.txt' AS rel_path,
+       doc || '/' || title || '.jsonl' AS out_path, content AS text FROM ({FINAL})""",
+    ),
+    "extract_log_files": query(*SECTION_CTES, BLANKS, select=LOG),
+    "full_text_table": query(
+        PAGES, select="SELECT doc, CAST(0 AS INTEGER) AS volume, text FROM texts"
+    ),
+    "appended_qa": query(*REPLIES, select="SELECT instruction, input, output FROM valid"),
+    "rewritten_qa": query(
+        *REPLIES,
+        f"kept AS ({first_per('instruction, output')})",
+        select="SELECT instruction, input, output FROM kept",
+    ),
+    "existing_keys": query(
+        *REPLIES, select="SELECT DISTINCT rel_path, instruction, output FROM valid"
+    ),
+    "progress_versions": query(
+        REPLY_PROGRESS,
+        select="""SELECT rel_path, done, CAST(800 AS INTEGER) AS target, CAST(150 AS INTEGER) AS overlap
+FROM progress""",
+    ),
+    "progress_objects": query(REPLY_PROGRESS, select="SELECT rel_path, done FROM progress"),
+    "appended_failures": query(
+        *ACCEPTED, FAILURES, select="SELECT * FROM failures", recursive=True
+    ),
+    "incremental_accept_interleaved": accepting("rel_path, chunk_index % 3, chunk_index, attempt"),
+    "settled_interleaved": query(
+        RESPONSES, select="SELECT DISTINCT rel_path, chunk_index FROM responses WHERE attempt <= 3"
+    ),
+    "accept_resumed_failed": accepting(
+        "rel_path, CAST(attempt > 1 AS INTEGER), chunk_index, attempt"
+    ),
+    "accept_rerun": accepting("rel_path, chunk_index, attempt"),
 }
