@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import split_words, strip
+from ..session import cut_lineage
 
 # Ids with a meaning of their own, and default lengths.
 PAD_ID = 0
@@ -18,6 +19,9 @@ MAX_LEN = 1024
 VOCAB_SIZE = 50_000
 # Largest vocabulary held in every task's memory; beyond it ids come from a join.
 BROADCAST_VOCAB_ROWS = 1_000_000
+# Parts that the rows of one token are dealt to in that join.
+SALTS = 64
+ROW_NUMBER = "__row"
 
 
 def render_training_text(qa: DataFrame) -> DataFrame:
@@ -51,19 +55,28 @@ def tokens(text: Column) -> Column:
 def build_vocab(texts: DataFrame, size: int = VOCAB_SIZE) -> DataFrame:
     """The ``size`` most frequent tokens with ids in order of (count, token).
 
-    Counting combines per task before the shuffle. The limit comes before the numbering, so the
-    one-task window sees ``size`` rows whatever the corpus.
+    Counting combines per task before the shuffle. The counts are sorted by range over all tasks and
+    written with each row's place in its task; a token's id is that place plus the rows of the tasks
+    before. So no task ever holds the vocabulary, whatever ``size`` is.
     """
-    if size > BROADCAST_VOCAB_ROWS:
-        raise ValueError(f"vocabulary size is limited to {BROADCAST_VOCAB_ROWS}")
     counts = (
         texts.select(F.explode(tokens(F.col("text"))).alias("token"))
         .groupBy("token")
         .agg(F.count("*").alias("n"))
     )
-    top = counts.orderBy(F.desc("n"), "token").limit(size)
-    rank = F.row_number().over(Window.orderBy(F.desc("n"), "token"))
-    return top.select("token", "n", (rank + FIRST_TOKEN_ID - 1).cast("int").alias("id"))
+    # The generated number is the task's number in the upper bits, the row's in the lower 33.
+    ordered = counts.orderBy(F.desc("n"), "token").withColumn("at", F.monotonically_increasing_id())
+    placed = cut_lineage(ordered).select(
+        "token", "n", F.shiftright("at", 33).alias("task"), F.col("at").bitwiseAND((1 << 33) - 1).alias("row")
+    )
+    # One row for each task of the sort: as many as there are shuffle partitions.
+    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("task").agg(F.count("*").alias("rows")).select(
+        "task", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start")
+    )
+    rank = F.col("start") + F.col("row")
+    numbered = placed.join(F.broadcast(starts), "task").where(rank < size)
+    return numbered.select("token", "n", (rank + FIRST_TOKEN_ID).cast("int").alias("id")).orderBy("id")
 
 
 def encode_fixed_length(
@@ -71,16 +84,17 @@ def encode_fixed_length(
 ) -> DataFrame:
     """Adds input_ids, attention_mask and labels of exactly ``max_len`` ids to every row.
 
-    Tokens past ``max_len`` are cut off, shorter rows are padded. The vocabulary is bounded, so its
-    size is checked and it goes to every task, where a whole Arrow batch is looked up at once: no
-    token is shuffled. A table beyond the bound is joined instead, for which ``key`` must name the
-    columns that identify a row.
+    Tokens past ``max_len`` are cut off, shorter rows are padded. The size of the vocabulary is
+    checked: within the bound it goes to every task, where a whole Arrow batch is looked up at once
+    and no token is shuffled. A table beyond the bound is joined; ``key`` names the columns that
+    identify a row, without it the rows are numbered first.
     """
     entries = vocab.select("token", "id").limit(BROADCAST_VOCAB_ROWS + 1).toArrow()
     if entries.num_rows > BROADCAST_VOCAB_ROWS:
-        if not key:
-            raise ValueError("a vocabulary of this size needs key columns to encode by join")
-        return encode_by_join(texts, vocab, max_len, key)
+        if key:
+            return encode_by_join(texts, vocab, max_len, key)
+        numbered = cut_lineage(texts.withColumn(ROW_NUMBER, F.monotonically_increasing_id()))
+        return encode_by_join(numbered, vocab, max_len, [ROW_NUMBER]).drop(ROW_NUMBER)
     first = F.slice(tokens(F.col("text")), 1, max_len)
     return _finish(texts.withColumn("ids", _lookup(entries)(first)), max_len)
 
@@ -104,11 +118,16 @@ def _lookup(entries: pa.Table):
 def encode_by_join(
     texts: DataFrame, vocab: DataFrame, max_len: int, key: list[str]
 ) -> DataFrame:
-    """The same by a join on the token; a row regroups at most ``max_len`` of them."""
+    """The same by a join on the token; a row regroups at most ``max_len`` of them.
+
+    Tokens that every row holds are salted by their row: the vocabulary is repeated for each salt.
+    """
     first = F.slice(tokens(F.col("text")), 1, max_len)
-    exploded = texts.select(*key, F.posexplode(first).alias("at", "token"))
-    ids = vocab.select("token", F.col("id").alias("token_id"))
-    known = exploded.join(ids, "token", "left")
+    salt = F.pmod(F.xxhash64(*key), F.lit(SALTS)).cast("int").alias("salt")
+    exploded = texts.select(*key, salt, F.posexplode(first).alias("at", "token"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    ids = vocab.select("token", F.col("id").alias("token_id"), salts)
+    known = exploded.join(ids, ["token", "salt"], "left")
     item = F.struct("at", F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("id"))
     ids = known.groupBy(*key).agg(
         F.transform(F.sort_array(F.collect_list(item)), lambda t: t["id"]).alias("ids")

@@ -32,6 +32,7 @@ from ..operators.training import (
     VOCAB_SIZE,
     build_vocab,
     encode_fixed_length,
+    input_files_check,
     project_text,
     render_training_text,
 )
@@ -39,6 +40,7 @@ from ..session import cut_lineage
 from ..sources.paths import version_numbers
 from ..sources.readers import (
     check_chunking,
+    qa_files,
     read_existing_keys,
     read_finished,
     read_progress,
@@ -146,6 +148,7 @@ def training_job(
     vocab_size: int = VOCAB_SIZE,
     max_len: int = MAX_LEN,
 ) -> None:
+    input_files_check(qa_files(spark, qa_dir))
     texts = project_text(render_training_text(read_qa(spark, qa_dir)))
     build_vocab(texts, vocab_size).write.mode("overwrite").parquet(vocab_dir)
     rows = encode_fixed_length(texts, spark.read.parquet(vocab_dir), max_len)

@@ -1,7 +1,5 @@
 """Rendering, vocabulary and fixed-length rows."""
 
-import pytest
-
 from pagemill.operators import training as tr
 
 
@@ -25,8 +23,11 @@ def test_render(spark):
 def test_vocab(spark):
     found = tr.build_vocab(texts(spark, "b a b c", " a\nd ", ""), 3).collect()
     assert [(r["token"], r["n"], r["id"]) for r in found] == [("a", 2, 2), ("b", 2, 3), ("c", 1, 4)]
-    with pytest.raises(ValueError):
-        tr.build_vocab(texts(spark, "a"), tr.BROADCAST_VOCAB_ROWS + 1)
+    every = tr.build_vocab(texts(spark, " ".join(f"t{k % 700:03}" for k in range(2000))), 10**9)
+    counted = {f"t{k:03}": 3 if k < 600 else 2 for k in range(700)}
+    order = sorted(counted, key=lambda t: (-counted[t], t))
+    assert [tuple(r) for r in every.collect()] == [(t, counted[t], k + 2) for k, t in enumerate(order)]
+    assert tr.build_vocab(texts(spark, "", None), 3).collect() == []
 
 
 def rows(df):
@@ -47,5 +48,4 @@ def test_encode(spark, monkeypatch):
     assert rows(tr.encode_by_join(given, vocab, 4, ["id"])) == EXPECTED
     monkeypatch.setattr(tr, "BROADCAST_VOCAB_ROWS", 1)
     assert rows(tr.encode_fixed_length(given, vocab, 4, key=["id"])) == EXPECTED
-    with pytest.raises(ValueError):
-        tr.encode_fixed_length(given, vocab, 4)
+    assert rows(tr.encode_fixed_length(given, vocab, 4)) == EXPECTED
