@@ -37,7 +37,8 @@ def chunk_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten lines to a page, a heading line put in front of every sixth line of three documents in
-    four; some pages empty, some with control characters. Some documents have a blank twin."""
+    four; some pages empty, some with control characters, some ending in a dot leader and a line that
+    holds only the page's number. Some documents have a blank twin."""
     docs = documents(spark, sf_dir)
     number = "doc_id % 9 + 1"
     marked = F.expr(f"""
@@ -63,6 +64,10 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("page_number") % 14 == 0, F.lit(None).cast("string"))
         .when(F.col("page_number") % 7 == 0, F.lit(""))
         .when(F.col("page_number") % 3 == 0, F.concat(F.lit("\x07\x0c"), F.col("text")))
+        .when(
+            F.col("page_number") % 5 == 2,
+            F.format_string("%s\nto be continued ............ overleaf\n  %d \nend", "text", "page_number"),
+        )
         .otherwise(F.col("text"))
     )
     full = paged.select(
@@ -80,8 +85,11 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A conversation is a chunk, each of its assistant turns an attempt; eight make a file.
 
+    System turns and questions without an answer are attempts too, whose reply is their bare text.
+
     The turn before and the turn itself, whole but for line breaks (no record may hold one), fill
-    twelve kinds of replies: none, empty, broken, wrapped, tagged, repeated and invalid ones.
+    twelve kinds of replies: none, empty, broken, wrapped, tagged, repeated, invalid ones and some with
+    line separators between the objects.
     """
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     line = F.regexp_replace("text", r"[\r\n]+", " ")
@@ -115,13 +123,23 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
                WHEN 7 THEN concat('[', r2, ',', r3, ']')
                WHEN 8 THEN concat('[', r4, ',', r3, ']')
                WHEN 6 THEN NULL
+               WHEN 10 THEN concat('[', r1, ',\u2028', r2, '\u2029]')
                ELSE concat('[', r1, ',', r2, ',', r3, ',', r4, ',', r1, ']')
         END""")
-    return records.select(
+    answered = F.expr("CAST((turn + 1) div 2 AS INT)").alias("attempt")
+    unanswered = F.expr("CAST((turn + IF(role = 'system', 1, 2)) div 2 AS INT)").alias("attempt")
+    told_rows = records.select("conv_id", answered, "k", raw.alias("raw"))
+    bare = turns.where("role <> 'assistant'").join(
+        pairs.select("conv_id", (F.col("turn") - 1).alias("turn")), ["conv_id", "turn"], "left_anti"
+    )
+    every = told_rows.unionByName(
+        bare.select("conv_id", unanswered, F.lit(None).cast("long").alias("k"), F.col("text").alias("raw"))
+    )
+    return every.select(
         F.expr(f"format_string('f%d.txt', conv_id div {CONVERSATIONS_PER_FILE})").alias("rel_path"),
         F.expr(f"CAST(conv_id % {CONVERSATIONS_PER_FILE} + 1 AS INT)").alias("chunk_index"),
-        F.expr("CAST((turn + 1) div 2 AS INT)").alias("attempt"),
-        raw.alias("raw"),
+        "attempt",
+        "raw",
         F.when(F.col("k") == 6, F.lit("HTTP 500")).alias("http_error"),
     )
 

@@ -99,6 +99,8 @@ raw_pages AS (
     CASE WHEN page_number % 14 = 0 THEN NULL
          WHEN page_number % 7 = 0 THEN ''
          WHEN page_number % 3 = 0 THEN chr(7) || chr(12) || text
+         WHEN page_number % 5 = 2 THEN text || chr(10) || 'to be continued ............ overleaf'
+           || chr(10) || '  ' || page_number || ' ' || chr(10) || 'end'
          ELSE text END AS text
   FROM paged
   UNION ALL SELECT 'blank' || doc_id, 1, '' FROM documents WHERE doc_id % 13 = 5
@@ -245,10 +247,17 @@ responses AS (
                 WHEN 6 THEN NULL
                 WHEN 7 THEN '[' || r2 || ',' || r3 || ']'
                 WHEN 8 THEN '[' || r4 || ',' || r3 || ']'
+                WHEN 10 THEN '[' || r1 || ',' || chr(8232) || r2 || chr(8233) || ']'
                 ELSE '[' || r1 || ',' || r2 || ',' || r3 || ',' || r4 || ',' || r1 || ']'
          END AS raw,
          CASE WHEN k = 6 THEN 'HTTP 500' END AS http_error
-  FROM filled)"""
+  FROM filled
+  UNION ALL
+  SELECT 'f' || (conv_id // 8) || '.txt', CAST(conv_id % 8 + 1 AS INTEGER),
+         CAST((turn + CASE role WHEN 'system' THEN 1 ELSE 2 END) // 2 AS INTEGER), text, NULL
+  FROM conversations c
+  WHERE role <> 'assistant'
+    AND NOT EXISTS (SELECT 1 FROM told t WHERE t.conv_id = c.conv_id AND t.turn = c.turn + 1))"""
 
 PARSED = r"""
 spans AS (
@@ -266,6 +275,7 @@ parsed AS (
 
 def scanned(required: tuple[str, ...], commas_first: bool) -> str:
     tagless = r"regexp_replace(raw, '(?i)<\s*/?\s*think\s*>', '', 'g')"
+    tagless = f"translate({tagless}, chr(8232) || chr(8233), '')"
     fixed = r"regexp_replace({}, ',\s*\]', ']', 'g')"
     text = fixed.format(tagless) if commas_first else tagless
     ready = "cand" if commas_first else fixed.format("cand")

@@ -104,7 +104,7 @@ def _appended_qa(spark, sf_dir) -> str:
     """Records appended in two goes: first attempts, then the others."""
     folder = scratch(spark, "qa")
     records = valid_records(spark, sf_dir)
-    for part in ("attempt = 1", "attempt > 1"):
+    for part in ("attempt <= 1", "attempt > 1"):
         wr.append_qa(records.where(part), folder)
     return folder
 
@@ -154,7 +154,7 @@ def progress_objects(spark, sf_dir):
 def appended_failures(spark, sf_dir):
     folder = scratch(spark, "failures")
     found = failures(spark, sf_dir)
-    for part in ("attempt = 1", "attempt > 1"):
+    for part in ("attempt <= 1", "attempt > 1"):
         wr.append_failures(found.where(part), folder)
     schema = "rel_path string, chunk_index int, attempt int, reason string, detail string"
     return spark.read.schema(schema).json(folder)
@@ -181,7 +181,7 @@ def settled_interleaved(spark, sf_dir):
     """Batches by attempt, the last first: every chunk answered is finished or among the failures."""
     store = inc.ReplyStore(scratch(spark, "store"))
     replies = inputs.responses(spark, sf_dir)
-    for batch, part in enumerate(("attempt > 1", "attempt = 1")):
+    for batch, part in enumerate(("attempt > 1", "attempt <= 1")):
         inc.accept_batch(replies.where(part), batch, store)
     failed = spark.read.schema("rel_path string, chunk_index int").json(store.failures)
     failed = failed.select("rel_path", "chunk_index")
@@ -198,7 +198,7 @@ def accept_resumed_failed(spark, sf_dir):
     """First attempts in one run; what failed comes back with its further attempts in the next."""
     folder = scratch(spark, "accept")
     replies = inputs.responses(spark, sf_dir)
-    _accept(spark, replies.where("attempt = 1"), folder)
+    _accept(spark, replies.where("attempt <= 1"), folder)
     _accept(spark, replies.where("attempt > 1"), folder)
     return _stored(spark, f"{folder}/qa")
 
