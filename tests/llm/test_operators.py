@@ -299,6 +299,23 @@ def test_quality_counts(docs, empty):
     assert quality.judge(empty).collect() == [] and quality.keep_good(empty).collect() == []
 
 
+def _prose(rng, words, n=80):
+    return " ".join(rng.choice(words) for _ in range(n))
+
+
+def test_quality_copies_count_once(spark):
+    """A text copied to three quarters of a language neither moves nor narrows its band."""
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(2, 8))) for _ in range(400)]
+    texts = [_prose(rng, words) for _ in range(60)]
+    once = [(k, t, "de") for k, t in enumerate(texts)]
+    table = lambda rows: spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    alone = {r.doc_id: (round(r.log_perplexity, 6), r.kept) for r in quality.judge(table(once)).collect()}
+    copied = {r.doc_id: (round(r.log_perplexity, 6), r.kept) for r in quality.judge(table(once + [(0, texts[0], "de")] * 240)).collect()}
+    assert copied == alone and all(kept for _, kept in alone.values())
+    assert quality.keep_good(table(once + [(0, texts[0], "de")] * 240)).count() == 300
+
+
 def test_kneser_ney_sums_to_one():
     rng = np.random.default_rng(0)
     counts = np.bincount((rng.zipf(1.3, 50_000) * 977) % (1 << 20), minlength=1 << 20)
