@@ -316,6 +316,23 @@ def test_quality_copies_count_once(spark):
     assert quality.keep_good(table(once + [(0, texts[0], "de")] * 240)).count() == 300
 
 
+def test_quality_rare_language_has_its_own_band(spark, monkeypatch):
+    """One row in 100 is in a language of its own; its texts are held against each other, not against all texts."""
+    rng = random.Random(12)
+    make = lambda letters, n: ["".join(rng.choice(letters) for _ in range(rng.randint(3, 8))) for _ in range(n)]
+    common, rare = make("etaoinshrdl", 60), make("zqxjkvbwyupgcmf", 400)
+    rows = [(k, _prose(rng, rare if k % 100 == 0 else common), "es" if k % 100 == 0 else "en" if k % 6 else None) for k in range(800)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    models = quality.language_models(table)
+    assert set(models) == {"", "en", "es"}
+    monkeypatch.setattr(quality, "MOST_HELD", 1)
+    found = {r.doc_id: r for r in quality.judge(table).collect()}
+    assert all(found[k].kept for k in range(0, 800, 100))
+    langs = {r.doc_id: r.lang for r in quality.features(table, models).collect()}
+    assert all(langs[k] == (lang or "") for k, _, lang in rows)
+    assert quality.keep_good(table).count() == sum(r.kept for r in found.values())
+
+
 def test_kneser_ney_sums_to_one():
     rng = np.random.default_rng(0)
     counts = np.bincount((rng.zipf(1.3, 50_000) * 977) % (1 << 20), minlength=1 << 20)
