@@ -18,11 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.common import as_batch, slices, utf8
+from pagemill.session import cut_lineage
 
 #: Hashed n-gram features, and bytes of an n-gram.
 FEATURES, GRAM = 1 << 15, 3
-#: A language is learned from this share of the labelled rows on, so there are at most 256.
-LEAST_SHARE = 1 / 256
+#: Languages whose counts a task holds at a time.
+MOST_HELD = 64
 #: Up to so many languages every split of them is a bit of the code; beyond, so many random bits a doubling.
 EXHAUSTIVE, BITS_A_DOUBLING = 6, 16
 #: Margins are means over a text's n-grams, times this many n-grams at most.
@@ -88,49 +89,105 @@ def output_code(n: int, seed: int = 7) -> np.ndarray:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """A model from all rows that are not held out and have a text and a language; none if there are none."""
+    """A model of every language in the rows that are not held out and have a text; none if there are none."""
     labelled = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     labelled = labelled.where(~is_held_out(F.col("doc_id")) & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    shares = labelled.groupBy("lang").agg(F.count("*").alias("n"))
-    total = shares.agg(F.sum("n")).first()[0] or 0
-    langs = tuple(sorted(r["lang"] for r in shares.where(F.col("n") >= LEAST_SHARE * total).collect()))  # at most 256
-    place = {lang: k for k, lang in enumerate(langs)}
+    langs = tuple(sorted(r["lang"] for r in labelled.select("lang").distinct().collect()))
+    return fit(langs, cut_lineage(feature_counts(labelled))) if langs else fit((), None)
+
+
+def feature_counts(labelled: DataFrame) -> DataFrame:
+    """(lang, feature, n) over all rows (lang, text), summed by task and then by Spark."""
     schema = pa.schema([("lang", pa.string()), ("feature", pa.int32()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((len(langs), FEATURES), dtype=np.int64)
+        held: dict[str, np.ndarray] = {}
+
+        def told():
+            for lang, row in held.items():
+                seen = np.nonzero(row)[0]
+                yield as_batch(schema, [lang] * len(seen), seen.astype(np.int32), row[seen])
+            held.clear()
+
         for batch in batches:
             for part in slices(batch, "text"):
-                texts, tongues = utf8(part.column("text")), part.column("lang").to_pylist()
-                for lang in set(tongues) & set(langs):
-                    found, _ = gram_features([t for t, own in zip(texts, tongues, strict=True) if own == lang])
-                    sums[place[lang]] += np.bincount(found[found >= 0], minlength=FEATURES)
-        for lang, row in zip(langs, sums, strict=True):
-            seen = np.nonzero(row)[0]
-            yield as_batch(schema, [lang] * len(seen), seen.astype(np.int32), row[seen])
-
-    counts = np.zeros((len(langs), FEATURES))
-    if langs:
-        rows = labelled.mapInArrow(count, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
-        told = rows.toArrow()  # languages x features
-        counts[[place[x] for x in told.column("lang").to_pylist()], told.column("feature").to_numpy()] = told.column("n").to_numpy()
-    return fit(langs, counts)
-
-
-def fit(langs: tuple[str, ...], counts: np.ndarray) -> Model:
+                texts: dict[str, list[bytes]] = {}
+                for text, lang in zip(utf8(part.column("text")), part.column("lang").to_pylist(), strict=True):
+                    texts.setdefault(lang, []).append(text)
+                for lang, own in texts.items():
+                    found, _ = gram_features(own)
+                    if lang not in held and len(held) >= MOST_HELD:
+                        yield from told()
+                    held.setdefault(lang, np.zeros(FEATURES, dtype=np.int64))
+                    held[lang] += np.bincount(found[found >= 0], minlength=FEATURES)
+        yield from told()
+
+    return labelled.mapInArrow(count, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
+
+
+def _numbered(batch: pa.RecordBatch, place: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.array([place[x] for x in batch.column("lang").to_pylist()], dtype=np.int64), batch.column("feature").to_numpy(), batch.column("n").to_numpy()
+
+
+def fit(langs: tuple[str, ...], counts: DataFrame | None) -> Model:
     """Binary classifiers from each language's n-gram counts: log odds between the mean of the languages with a
-    one and the mean of those with a zero, all languages alike."""
+    one and the mean of those with a zero, all languages alike.
+
+    Spark sums over languages; the driver holds the code and numbers by feature and bit, and by language and bit.
+    """
     if not langs:
         return Model((), np.zeros((0, 1), np.float32), np.zeros((FEATURES, 1), np.float32), np.ones(1, np.float32))
-    code = output_code(len(langs))
-    share = (counts + 0.5) / (counts + 0.5).sum(1, keepdims=True)
-    ones, zeros = code.T > 0, code.T < 0
-    mean = lambda side: (side @ share) / np.maximum(side.sum(1, keepdims=True), 1)
-    weights = np.zeros((FEATURES, code.shape[1]))
-    both = ones.any(1) & zeros.any(1)
-    weights[:, both] = (np.log(mean(ones[both])) - np.log(mean(zeros[both]))).T
-    expected = share @ weights  # each language's mean margin for one n-gram
-    trust = np.array([(expected[:, b] * code[:, b]).min() if both[b] else 1.0 for b in range(code.shape[1])])
+    spark = counts.sparkSession
+    place, code = {lang: k for k, lang in enumerate(langs)}, output_code(len(langs))
+    bits = code.shape[1]
+    totals = np.full(len(langs), 0.5 * FEATURES)  # half a count more for each feature
+    for row in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect():
+        totals[place[row["lang"]]] += row["n"]
+    sides = np.concatenate([code > 0, code < 0], axis=1) / totals[:, None]
+    schema = pa.schema([("feature", pa.int32()), ("sums", pa.binary())])
+    sent = spark.sparkContext.broadcast((place, sides))
+
+    def by_feature(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, shares = sent.value
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            lang, feature, n = _numbered(batch, number)
+            for k in range(0, len(n), 4096):
+                own, to = np.unique(feature[k : k + 4096], return_inverse=True)
+                sums = np.zeros((len(own), shares.shape[1]))
+                np.add.at(sums, to, n[k : k + 4096, None] * shares[lang[k : k + 4096]])
+                for f, row in zip(own.tolist(), sums, strict=True):
+                    held[f] = held[f] + row if f in held else row
+        yield as_batch(schema, [*held], [row.tobytes() for row in held.values()])
+
+    means = np.zeros((FEATURES, 2 * bits))
+    for row in counts.repartition("feature").mapInArrow(by_feature, "feature int, sums binary").toLocalIterator():
+        means[row["feature"]] = np.frombuffer(row["sums"])
+    means = (means + 0.5 * sides.sum(0)) / np.maximum((sides > 0).sum(0), 1)
+    ones, zeros = means[:, :bits], means[:, bits:]
+    both = (code > 0).any(0) & (code < 0).any(0)
+    weights = np.zeros((FEATURES, bits))
+    weights[:, both] = np.log(ones[:, both]) - np.log(zeros[:, both])
+
+    sums_schema = pa.schema([("lang", pa.int32()), ("bit", pa.int32()), ("margin", pa.float64())])
+    weighed = spark.sparkContext.broadcast((place, weights))
+
+    def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, own = weighed.value
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            lang, feature, n = _numbered(batch, number)
+            for k in set(lang.tolist()):
+                at = np.nonzero(lang == k)[0]
+                held[k] = held.get(k, 0.0) + n[at] @ own[feature[at]]
+        for k, row in held.items():
+            yield as_batch(sums_schema, [k] * len(row), range(len(row)), row)
+
+    expected = np.tile(0.5 * weights.sum(0), (len(langs), 1))  # each language's mean margin for one n-gram
+    for row in counts.mapInArrow(by_language, "lang int, bit int, margin double").groupBy("lang", "bit").agg(F.sum("margin").alias("margin")).collect():
+        expected[row["lang"], row["bit"]] += row["margin"]
+    expected /= totals[:, None]
+    trust = np.where(both, (expected * code).min(0), 1.0)
     trust = np.clip(trust, 0.05, None)
     return Model(langs, code, weights.astype(np.float32), (trust / trust.sum()).astype(np.float32))
 
@@ -155,7 +212,8 @@ def predict_texts(model: Model, texts: list[str | None]) -> tuple[list[str], np.
         else:
             margins[k] = model.weights[own].sum(0, dtype=np.float64)
     margins *= (np.minimum(counted, MOST_GRAMS) / np.maximum(counted, 1))[:, None]
-    losses = np.stack([np.logaddexp(0, -margins * word) @ model.trust for word in model.code], axis=1)
+    ones, zeros = np.logaddexp(0, -margins) * model.trust, np.logaddexp(0, margins) * model.trust
+    losses = ones @ (model.code > 0).T + zeros @ (model.code < 0).T
     best = losses.argmin(1)
     likely = np.exp(losses.min(1, keepdims=True) - losses)
     for k, row in enumerate(rows):

@@ -261,6 +261,33 @@ def test_language(spark, docs, empty):
     assert len(np.unique(language.output_code(40), axis=0)) == 40
 
 
+def test_rare_languages_are_learned(spark, monkeypatch):
+    """Twenty languages, one of them in fewer than 1/256 of the rows."""
+    rng = random.Random(8)
+    make = lambda: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 8))) for _ in range(40)]
+    tongues = {f"l{k:02}": make() for k in range(20)}
+    rows = [(k, " ".join(rng.choice(tongues[lang]) for _ in range(60)), lang) for k, lang in enumerate([*list(tongues)[:19] * 80, *["l19"] * 5])]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = [lang for k, _, lang in rows if zlib.crc32(str(k).encode()) % 4 != 2]
+    assert 0 < learned.count("l19") < len(learned) / 256
+    monkeypatch.setattr(language, "MOST_HELD", 3)
+    model = language.learn(table)
+    assert model.langs == tuple(sorted(tongues))
+    found = {r.doc_id: r for r in language.predict(table, model).collect()}
+    assert all(found[k].lang_pred == lang and not found[k].ambiguous for k, _, lang in rows)
+    # The classifiers are those of the whole table in one place.
+    share = np.full((20, language.FEATURES), 0.5)
+    for k, text, lang in rows:
+        if zlib.crc32(str(k).encode()) % 4 != 2:
+            grams, _ = language.gram_features([text.encode()])
+            share[model.langs.index(lang)] += np.bincount(grams[grams >= 0], minlength=language.FEATURES)
+    share /= share.sum(1, keepdims=True)
+    for b, column in enumerate(model.code.T):
+        assert model.weights[:, b] == pytest.approx(np.log(share[column > 0].mean(0)) - np.log(share[column < 0].mean(0)), abs=1e-5)
+    trust = np.clip([(share @ model.weights[:, b] * column).min() for b, column in enumerate(model.code.T)], 0.05, None)
+    assert model.trust == pytest.approx(trust / trust.sum(), rel=1e-3)
+
+
 def test_bpe_equals_library():
     bpe = byte_bpe.TreeBpe(RANKS, public_tokenizers.PATTERN)
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks, special_tokens={})
