@@ -244,6 +244,20 @@ def test_shards_and_head_agree(spark, monkeypatch):
         assert got[:5] == want[:5] and got[5] == pytest.approx(want[5])
 
 
+def test_a_word_repeated_very_often(spark):
+    """More than an int16 holds: no token is added on the way to the shards and back."""
+    held = next(k for k in range(99) if zlib.crc32(str(k).encode()) % 7 == 2)
+    learned = next(k for k in range(99) if zlib.crc32(str(k).encode()) % 7 != 2)
+    for n in (32767, 32769, 100_001):
+        keys, times = ngram_trie.in_parts(np.array([5, 9]), np.array([n, 1]))
+        assert times[keys == 5].sum() == n and times[keys == 9].tolist() == [1] and times.max() <= 32767
+    rows = [(held, "rare " * 32_769), (learned, "some other words")]
+    found = {r.doc_id: r for r in ngram_trie.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    unseen = math.log10(1 / (4 + 4 + 1))
+    assert found[held].n_tokens == 32_770 and found[held].n_known == 1
+    assert found[held].base_score == pytest.approx(32_769 * unseen + math.log10(2 / 9), abs=1e-6)
+
+
 def test_language(spark, docs, empty):
     rng = random.Random(6)
     tongues = {"en": "the thing with other they when that", "de": "über schon nicht zwischen möchte und der", "fr": "être où déjà voilà garçon les que", "es": "año señor corazón niño ella los que"}
