@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import byte_bpe, html_text, language, ngram_trie, packing, quality, secrets, simhash, topk, urls
+from pagemill.llm import byte_bpe, html_text, language, ngram_trie, packing, quality, runs, secrets, simhash, topk, urls
 from pagemill.llm.common import table
 
 
@@ -80,6 +81,34 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
 
 
+def loop_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Of a tenth of the documents the words from a place on become periodic; null ids stay as they are."""
+    n, h = len(words), zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs of words, the greatest of them, and digests of all and of what is left."""
+    found = runs.collapse_runs(table(spark, sf_dir, "documents"), change=loop_tail)
+    greater = "b is null or r.length * b.period > b.length * r.period"  # exact; ties go to the earlier
+    none = "cast(null as struct<start: long, length: long, period: long>)"
+    best = F.expr(f"aggregate(runs, {none}, (b, r) -> if({greater}, r, b))")
+    lines = "array_join(transform(runs, r -> concat_ws(',', r.start, r.length, r.period) || '\n'), '')"
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.*",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.expr(lines), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_html_extraction": op2_html_extraction,
@@ -91,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_top_k": op10_top_k,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 #: The other operators' models, tokenizers, hashes and parsers are beyond SQL; tests hold them against brute force.
