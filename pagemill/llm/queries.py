@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import byte_bpe, html_text, language, ngram_trie, packing, quality, runs, secrets, simhash, topk, urls
+from pagemill.llm import byte_bpe, html_text, language, minhash, ngram_trie, packing, quality, runs, secrets, simhash, topk, urls
 from pagemill.llm.common import table
 
 
@@ -81,6 +81,11 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
 
 
+def op11_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of similar shingle sets."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def loop_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """Of a tenth of the documents the words from a place on become periodic; null ids stay as they are."""
     n, h = len(words), zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
@@ -120,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_top_k": op10_top_k,
+    "op11_minhash_neardup": op11_minhash_neardup,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
