@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import byte_bpe, html_text, language, minhash, ngram_trie, packing, quality, runs, secrets, simhash, topk, urls
+from pagemill.llm import byte_bpe, conversations, html_text, language, minhash, ngram_trie, packing, quality, runs, secrets, simhash, topk, urls
 from pagemill.llm.common import table
 
 
@@ -86,6 +86,34 @@ def op11_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults dealt by crc32 of ``conv_id:turn``; a null value is one space, but for ids and turns."""
+    spaced = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat_ws(":", spaced("conv_id"), spaced("turn"))) % 20
+    dealt = rows.select("conv_id", "turn", spaced("role").alias("role"), spaced("text").alias("text"), fault.alias("fault"))
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("fault") == 4, "user").otherwise(F.col("role"))
+    times = F.when(F.col("fault") == 3, 2).otherwise(1)
+    hit = dealt.where("fault <> 0").select("conv_id", "turn", role.alias("role"), text.alias("text"), times.alias("times"))
+    return hit.withColumn("times", F.explode(F.expr("sequence(1, times)"))).drop("times")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults after damage, its cheapest repair and a digest of what it gives."""
+    rows = table(spark, sf_dir, "conversations")
+    repaired = conversations.repair(damaged(rows))
+    every = rows.select("conv_id").distinct()
+    own = lambda df: df.select(F.struct("conv_id").alias("conv"), *df.columns[1:])
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    told = own(repaired.summary).join(own(conversations.digests(repaired.edits)), "conv")
+    return own(every).join(told, "conv", "left").select(
+        "conv.conv_id",
+        *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def loop_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """Of a tenth of the documents the words from a place on become periodic; null ids stay as they are."""
     n, h = len(words), zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
@@ -126,6 +154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_top_k": op10_top_k,
     "op11_minhash_neardup": op11_minhash_neardup,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
