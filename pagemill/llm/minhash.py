@@ -8,10 +8,10 @@ the share of places that agree is concentrated as with independent hashes, but a
 about n + COORDINATES log COORDINATES hashes rather than their product.
 
 Bands of BAND_PLACES places are keys. Sets with a similarity of 0.8 share no key with a probability of
-(1 - 0.8^6)^56, 4e-8. Candidates that share a key are verified on their full sets in two steps: every set
+(1 - 0.8^6)^56, 4e-8. Candidates that share a key are compared by their whole sketches, then verified on their full sets, in two steps: every set
 against the first of each of its keys, which settles groups of near copies with as many comparisons as there
 are sets; then, in keys that still hold sets of several components, those against each other, in
-blocks of bounded size whose sizes can fit, by their whole sketches first.
+blocks of bounded size whose sizes can fit: sketches first, which give clusters, then full sets by cluster.
 """
 
 from __future__ import annotations
@@ -34,11 +34,12 @@ LEAST_PERCENT = 80
 COORDINATES = 336
 BAND_PLACES = 6
 BANDS = COORDINATES // BAND_PLACES
-#: Places in which sketches must agree for a second-step comparison on full sets. At a similarity of
-#: 0.8 fewer agree with a probability below 1e-12.
-LEAST_AGREEING = 215
-#: Expected sets of one block of the second step.
+#: Places in which sketches must agree for a comparison on full sets. At a similarity of 0.8 fewer agree
+#: with a probability of 7e-9.
+LEAST_AGREEING = 225
+#: Expected sets, and elements in them, of one block of the second step.
 BLOCK = 512
+BLOCK_ELEMENTS = 1 << 20
 #: Hashes computed at a time.
 _AT_ONCE = 1 << 13
 _UNFILLED = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -162,37 +163,75 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return sized.where(F.expr(f"100 * bigint(c) >= {LEAST_PERCENT} * (bigint(p) + q - c)")).select("a", "b")
 
 
+def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sketches agree in LEAST_AGREEING places."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 1024):
+                part = batch.slice(k, 1024)
+                near = (_matrix(part.column("x")) == _matrix(part.column("y"))).sum(axis=1) >= LEAST_AGREEING
+                yield as_batch(schema, *(part.column(c).to_numpy()[near] for c in "ab"))
+
+    left = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("x"))
+    right = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def _block_links(root, size, places, sets=None) -> list[tuple[int, int]]:
+    """Pairs of rows that connect all roots with sketches alike among these, or with ``sets`` all with similar sets."""
+    group = np.unique(root, return_inverse=True)[1]
+    found = []
+    for k in range(len(root) - 1):
+        ahead = slice(k + 1, None)
+        fits = 100 * np.minimum(size[k], size[ahead]) >= LEAST_PERCENT * np.maximum(size[k], size[ahead])
+        at = k + 1 + np.flatnonzero(fits & (group[ahead] != group[k]))
+        at = at[(places[at] == places[k]).sum(axis=1) >= LEAST_AGREEING]
+        for j in at.tolist():
+            if group[j] == group[k]:
+                continue
+            if sets:
+                place = np.searchsorted(sets[k], sets[j])
+                place[place == size[k]] = 0
+                common = int((sets[k][place] == sets[j]).sum())
+                if 100 * common < LEAST_PERCENT * (size[k] + size[j] - common):
+                    continue
+            found.append((k, j))
+            group[group == group[j]] = group[k]
+    return found
+
+
 def _across(rest: DataFrame) -> DataFrame:
-    """(key, node, root, n, sketch) to the pairs (a, b) of different roots within a key whose sketches agree enough.
+    """(key, node, root, n, sketch) to links (a, b) of roots that meet within a key, by sketches; with elements, by full sets.
 
-    Sizes of linked sets differ by a factor of 1.25 at most, so classes of sizes to a base of 1.26 meet
-    their own and the next class only. A class of a key is dealt to blocks of about BLOCK rows, and each pair of
-    blocks is one bounded group.
+    Links connect all roots that are alike; with elements they are of nodes that are similar. Sizes of linked sets
+    differ by a factor of 1.25 at most, so classes of sizes to a base of 1.26 meet their own and the next class only. A
+    class of a key is dealt to blocks of about BLOCK rows and BLOCK_ELEMENTS elements, and each pair of blocks is
+    one bounded group; only links leave it, fewer than it has rows.
     """
+    exact = "elements" in rest.columns
     sized = rest.withColumn("class", F.floor(F.log("n") / F.log(F.lit(1.26))).cast("int"))
-    cells = cut_lineage(
-        sized.groupBy("key", "class").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    )
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_ELEMENTS)).cast("int")
+    cells = cut_lineage(sized.groupBy("key", "class").agg(blocks.alias("blocks")))
     own = sized.join(cells, ["key", "class"]).withColumn("block", F.expr("int(pmod(xxhash64(node), blocks))"))
     others = cells.select("key", F.col("class").alias("other"), F.col("blocks").alias("others"))
     met = own.withColumn("other", F.explode(F.expr("array(class - 1, class, class + 1)"))).join(others, ["key", "other"])
     met = met.withColumn("other_block", F.explode(F.expr("sequence(0, others - 1)")))
     mine, theirs = F.struct("class", "block"), F.struct(F.col("other").alias("class"), F.col("other_block").alias("block"))
-    grouped = met.select("key", F.least(mine, theirs).alias("lo"), F.greatest(mine, theirs).alias("hi"), "node", "root", "n", "sketch")
+    lo, hi = F.least(mine, theirs).alias("lo"), F.greatest(mine, theirs).alias("hi")
+    grouped = met.select("key", lo, hi, *rest.drop("key").columns)
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        node, root, n = (group.column(c).to_numpy() for c in ("node", "root", "n"))
-        places = _matrix(group.column("sketch"))
-        found = []
-        for k in range(len(node) - 1):
-            fits = 100 * np.minimum(n[k], n[k + 1 :]) >= LEAST_PERCENT * np.maximum(n[k], n[k + 1 :])
-            at = k + 1 + np.flatnonzero(fits & (root[k + 1 :] != root[k]))
-            at = at[(places[at] == places[k]).sum(axis=1) >= LEAST_AGREEING]
-            found.append(np.stack([np.full(len(at), node[k]), node[at]]))
-        pairs = np.sort(np.concatenate(found, axis=1), axis=0) if found else np.zeros((2, 0), dtype=np.int64)
-        return pa.Table.from_batches([as_batch(schema, pairs[0], pairs[1])])
+        root, named = group.column("root").to_numpy(), group.column("node" if exact else "root").to_numpy()
+        sets = None
+        if exact:
+            sets = [s.values.to_numpy().view(np.uint64) for column in group.column("elements").chunks for s in column]
+        pairs = _block_links(root, group.column("n").to_numpy(), _matrix(group.column("sketch")), sets)
+        at = np.array(pairs, dtype=np.int64).reshape(-1, 2)
+        return pa.Table.from_batches([as_batch(schema, named[at[:, 0]], named[at[:, 1]])])
 
     return grouped.groupBy("key", "lo", "hi").applyInArrow(compare, "a long, b long").distinct()
 
@@ -208,7 +247,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Equal sets are one node, combined before the shuffle, and only nodes that share a band key are ever
     verified; their sets are taken from the texts a second time rather than kept for all rows. Of sets whose
-    similarity is just below 0.8 a thousand that share a key cost a million comparisons, in blocks.
+    similarity is just below 0.8 a thousand that share a key cost half a million comparisons, in blocks.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     marked = cut_lineage(sketches(texts, words))
@@ -217,7 +256,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     nodes = cut_lineage(distinct.withColumn("node", F.monotonically_increasing_id()))
     keyed = _keyed(nodes)
-    shared = keyed.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("rows")).where("rows > 1")
+    # Keys with the same nodes are told by two 64-bit digests of them, the least node and their number.
+    told = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
+    shared = keyed.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("rows"), *told).where("rows > 1")
+    shared = shared.groupBy("first", "rows", "x1", "x2").agg(F.min("key").alias("key")).select("key", "first", "rows")
     members = cut_lineage(keyed.join(shared, "key"))
     links = cut_lineage(_links(texts, nodes, members, words))
     roots = components(links)
@@ -241,12 +283,16 @@ def _links(texts: DataFrame, nodes: DataFrame, members: DataFrame, words: int) -
     sets = cut_lineage(sets.groupBy("node").agg(F.any_value("elements").alias("elements")))
 
     stars = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    first = cut_lineage(_verified(stars, sets))
+    first = cut_lineage(_verified(_alike(stars, nodes), sets))
     placed = members.join(components(first), "node", "left").select("key", "node", "rows", F.coalesce("root", "node").alias("root"))
     # The pair of a key with two members has been compared.
     torn = placed.where("rows > 2").groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
     rest = cut_lineage(placed.join(torn.select("key"), "key", "left_semi").select("key", "node", "root"))
     if rest.isEmpty():
         return first
-    pairs = cut_lineage(_across(rest.join(nodes.select("node", "n", "sketch"), "node")))
-    return first.unionByName(_verified(pairs, sets))
+    # Roots alike in some key are a cluster, and each node goes to its cluster once with its set.
+    sketched = nodes.select("node", "n", "sketch")
+    clusters = components(cut_lineage(_across(rest.join(sketched, "node"))))
+    clusters = clusters.select(F.col("node").alias("root"), F.col("root").alias("key"))
+    gathered = rest.select("node", "root").distinct().join(clusters, "root")
+    return first.unionByName(_across(gathered.join(sketched, "node").join(sets, "node")))

@@ -77,23 +77,34 @@ def test_empty_table(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
-def test_second_step_finds_links_that_no_star_has(spark):
-    """Blocks alone, with every set a root of its own, find all similar pairs of a key."""
+@pytest.mark.parametrize("block", [4, minhash.BLOCK])
+def test_second_step_finds_links_that_no_star_has(spark, monkeypatch, block):
+    """Blocks alone, with every set a root of its own, connect what similar pairs of a key connect."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
     base = [f"w{k}" for k in range(100)]
     texts = [" ".join(base[:k] + ["new"] + base[k + 1 :]) for k in range(0, 100, 2)]
+    texts += [" ".join(base[: 20 + 9 * k]) for k in range(9)] + ["a b c d e f", "a b c d e f"]
     sets = [minhash.shingle_set(t.encode()) for t in texts]
-    rest = spark.createDataFrame(
-        [(1, k, k, len(s), bytearray(minhash.sketch(s).tobytes())) for k, s in enumerate(sets)],
-        "key long, node long, root long, n long, sketch binary",
-    )
-    pairs = {tuple(r) for r in minhash._across(rest).collect()}
-    similar = {
+    rows = [(1, k, k, len(s), bytearray(minhash.sketch(s).tobytes()), s.view(np.int64).tolist()) for k, s in enumerate(sets)]
+    rest = spark.createDataFrame(rows, "key long, node long, root long, n long, sketch binary, elements array<long>")
+    found = [tuple(r) for r in minhash._across(rest).collect()]
+    similar = [
         (a, b)
         for b in range(len(sets))
         for a in range(b)
         if 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))
-    }
-    assert similar and similar <= pairs
+    ]
+    assert similar and {tuple(sorted(p)) for p in found} <= set(similar)
+    assert groups(len(sets), found) == groups(len(sets), similar)
+    by_sketch = groups(len(sets), [tuple(r) for r in minhash._across(rest.drop("elements")).collect()])
+    assert all(any(part <= whole for whole in by_sketch) for part in groups(len(sets), similar))
+
+
+def groups(n, pairs):
+    group = list(range(n))
+    for a, b in pairs:
+        group = [group[a] if g == group[b] else g for g in group]
+    return {frozenset(k for k in range(n) if group[k] == g) for g in group}
 
 
 def test_sketches_estimate_similarity():
