@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.replies import FIELDS, elements
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch
 from .chunks import resume_filter
 from .replies import REPLY_KEY
 
 MAX_RETRIES = 3
+#: Rounds before chains are followed, and the most attempts of a chunk for which they are: one bit each.
+PLAIN_ROUNDS = 2
+MOST_MAPPED = 62
 RECORD_KEY = ["instruction", "output"]
 RECORD_COLUMNS = [*REPLY_KEY, "pos", *FIELDS]
 
@@ -77,8 +80,11 @@ def accept_attempts(
     one task, all chunks are settled side by side in rounds over narrow (scope, place, attempt,
     key) rows. In a round, with keys already seen dropped, a chunk settles on its earliest attempt
     left if that is its last one, or if it holds a key no earlier unsettled chunk might bring. At
-    least the first unsettled chunk of every scope does, and usually nearly all do. Only the rows
-    of unsettled chunks, a shrinking set, go on to the next round.
+    least the first unsettled chunk of every scope does, and usually nearly all do. From the third
+    round on, a chunk whose choice hangs on one earlier chunk alone is a map from that one's choice to
+    its own; maps along a chain are joined end to end over stretches that double, so a chain settles in as
+    many steps as its length has bits. Only the rows of unsettled chunks, a shrinking set, go on
+    to the next round.
     """
     records = records.where(F.col("attempt") <= max_retries)
     if existing is not None:
@@ -94,14 +100,35 @@ def accept_attempts(
         scope_id.alias("scope"), place.alias("place"), "attempt", _key_hash().alias("key")
     )
 
-    decided = None
+    decided = _settle_all(rows, max_retries)
+    kept = (
+        records.withColumn("scope", scope_id)
+        .withColumn("place", place)
+        .join(decided, ["scope", "place", "attempt"], "left_semi")
+        .drop("scope", "place")
+    )
+    return dedup_within_file(kept) if in_file else dedup_global(kept)
+
+
+def _settle_all(rows: DataFrame, max_retries: int) -> DataFrame:
+    """(scope, place, attempt, key) to the attempt each chunk ends with. A round's chunks are a folder of one table."""
+    spark = rows.sparkSession
+    folder = scratch(spark, "rounds")
+    number = 0
     while True:
-        chunks = cut_lineage(_settle(rows))
-        settled = chunks.where("settled").select("scope", "place", F.col("current").alias("attempt"))
-        decided = settled if decided is None else decided.unionByName(settled)
+        chunks = _settle(rows)
+        if number >= PLAIN_ROUNDS and max_retries <= MOST_MAPPED:
+            chunks = _follow(rows, cut_lineage(chunks), max_retries)
+        chunks = chunks.select("scope", "place", F.col("current").alias("attempt"), "settled")
+        schema = chunks.schema
+        chunks.write.parquet(f"{folder}/round={number}")
+        chunks = spark.read.schema(schema).parquet(f"{folder}/round={number}")
+        settled = chunks.where("settled").select("scope", "place", "attempt")
         unsettled = chunks.where("not settled").select("scope", "place")
         if unsettled.isEmpty():
-            break
+            rounds = spark.read.schema(schema).parquet(folder)
+            return rounds.where("settled").select("scope", "place", "attempt")
+        number += 1
         waiting = rows.join(unsettled, ["scope", "place"], "left_semi")
         chosen = rows.join(settled, ["scope", "place", "attempt"], "left_semi")
         seen = chosen.groupBy("scope", "key").agg(F.min("place").alias("seen_at"))
@@ -111,13 +138,89 @@ def accept_attempts(
             .select("scope", "place", "attempt", "key")
         )
 
-    kept = (
-        records.withColumn("scope", scope_id)
-        .withColumn("place", place)
-        .join(decided, ["scope", "place", "attempt"], "left_semi")
-        .drop("scope", "place")
+
+def _follow(rows: DataFrame, chunks: DataFrame, max_retries: int) -> DataFrame:
+    """Settle chunks whose choice depends, chunk after chunk, on one that has settled in this round."""
+    known = chunks.where("settled").select("scope", F.col("place").alias("on"), F.col("current").alias("theirs"))
+    links = _links(rows, chunks, max_retries).join(known, ["scope", "on"], "left")
+    links = cut_lineage(links.withColumn("choice", F.get("map", F.col("theirs"))).drop("theirs"))
+    while True:
+        hopped = cut_lineage(_hop(links))
+        links = hopped.drop("moved")
+        if hopped.where("moved").isEmpty():
+            break
+    found = links.where("choice is not null").select("scope", "place", "choice")
+    return chunks.join(found, ["scope", "place"], "left").select(
+        "scope",
+        "place",
+        F.coalesce("choice", "current").alias("current"),
+        (F.col("settled") | F.col("choice").isNotNull()).alias("settled"),
+    )
+
+
+def _links(rows: DataFrame, chunks: DataFrame, max_retries: int) -> DataFrame:
+    """(scope, place, on, map): unsettled chunks that hang on the choice of one earlier chunk, ``on``.
+
+    ``map`` has the chunk's own attempt at the index of the other's. Before the attempt it takes at the latest,
+    all its keys may come from earlier chunks; here from one. An attempt is useless if the other's
+    choice holds all keys of it. A key with two earlier holders makes its chunk wait.
+    """
+    holders = rows.groupBy("scope", "key", "place").agg(
+        F.bit_or(F.expr("shiftleft(1L, attempt)")).alias("attempts")
+    )
+    first = holders.groupBy("scope", "key").agg(F.min(F.struct("place", "attempts")).alias("first"))
+    second = (
+        holders.join(first, ["scope", "key"])
+        .where(F.col("place") > F.col("first.place"))
+        .groupBy("scope", "key")
+        .agg(F.min("place").alias("second"))
+    )
+    waits = chunks.where("not settled").select(
+        "scope", "place", F.coalesce("brings_new", "last").alias("latest")
+    )
+    told = (
+        rows.join(waits, ["scope", "place"])
+        .where(F.col("attempt") < F.col("latest"))
+        .join(first, ["scope", "key"])
+        .join(second, ["scope", "key"])
+    )
+    tries = told.groupBy("scope", "place", "attempt", "latest").agg(
+        F.bit_and("first.attempts").alias("useless_after"),
+        F.min("first.place").alias("on"),
+        F.max("first.place").alias("other"),
+        F.bool_or(F.col("second") < F.col("place")).alias("several"),
+    )
+    hung = tries.groupBy("scope", "place", "latest").agg(
+        F.sort_array(F.collect_list(F.struct("attempt", "useless_after"))).alias("tries"),
+        F.min("on").alias("on"),
+        F.max("other").alias("other"),
+        F.bool_or("several").alias("several"),
+    )
+    useful = "filter(tries, t -> shiftright(t.useless_after, c) & 1 = 0)"
+    mapped = F.expr(f"transform(sequence(0, {max_retries}), c -> coalesce(get({useful}, 0).attempt, latest))")
+    return hung.where((F.col("on") == F.col("other")) & ~F.col("several")).select(
+        "scope", "place", "on", mapped.alias("map")
+    )
+
+
+def _hop(links: DataFrame) -> DataFrame:
+    """Links that skip the chunk they hang on: over twice the stretch, or settled; ``moved`` tells which did."""
+    ahead = links.select(
+        "scope",
+        F.col("place").alias("on"),
+        F.col("on").alias("further"),
+        F.col("map").alias("inner"),
+        F.col("choice").alias("theirs"),
+    )
+    open_ = F.col("choice").isNull() & F.col("inner").isNotNull()
+    return links.join(ahead, ["scope", "on"], "left").select(
+        "scope",
+        "place",
+        F.when(open_, F.col("further")).otherwise(F.col("on")).alias("on"),
+        F.when(open_, F.expr("transform(inner, c -> map[c])")).otherwise(F.col("map")).alias("map"),
+        F.coalesce("choice", F.get("map", F.col("theirs"))).alias("choice"),
+        open_.alias("moved"),
     )
-    return dedup_within_file(kept) if in_file else dedup_global(kept)
 
 
 def _key_hash() -> Column:
@@ -159,7 +262,7 @@ def _settle(rows: DataFrame) -> DataFrame:
     settled = (F.col("current") == F.col("last")) | F.coalesce(
         F.col("brings_new") == F.col("current"), F.lit(False)
     )
-    return chunks.select("scope", "place", "current", settled.alias("settled"))
+    return chunks.select("scope", "place", "current", "last", "brings_new", settled.alias("settled"))
 
 
 def accepted_chunks(accepted: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pagemill.operators import records as rc
 
 RECORDS = "rel_path string, chunk_index int, attempt int, pos int, instruction string, input string, output string"
@@ -50,7 +52,25 @@ def test_long_chain_of_dependent_chunks(spark):
     assert kept(rc.accept_attempts(frame(spark, rows))) == walk(rows, [], 3, False)
 
 
-def test_random_runs(spark):
+def test_chain_of_2000_chunks_takes_few_rounds(spark, monkeypatch):
+    """Choices that alternate at random along the chain; every step hangs on the one before."""
+    rng = random.Random(4)
+    rows = [("f", 1, 1, 1, "k1"), ("f", 1, 2, 1, "l1")]
+    for c in range(2, 2001):
+        held = rng.choice([f"k{c - 1}", f"l{c - 1}", f"m{c - 1}"])
+        rows += [("f", c, 1, 1, held), ("f", c, 2, 1, f"k{c}"), ("f", c, 2, 2, f"l{c}")]
+        rows += [("f", c, 3, 1, f"m{c}")] if c % 2 else [("f", c, 1, 2, f"l{c - 1}")]
+    rounds = []
+    for name in ("_settle", "_hop"):
+        plain = getattr(rc, name)
+        monkeypatch.setattr(rc, name, lambda df, plain=plain: (rounds.append(1), plain(df))[1])
+    assert kept(rc.accept_attempts(frame(spark, rows))) == walk(rows, [], 3, False)
+    assert 3 <= len(rounds) <= 15
+
+
+@pytest.mark.parametrize("plain_rounds", [0, rc.PLAIN_ROUNDS])
+def test_random_runs(spark, monkeypatch, plain_rounds):
+    monkeypatch.setattr(rc, "PLAIN_ROUNDS", plain_rounds)
     for seed, whole_run in ((1, False), (2, False), (3, True)):
         rng = random.Random(seed)
         rows = [
