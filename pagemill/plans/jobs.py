@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.chunks import (
     build_request,
     chunk_words,
     resume_failed,
-    resume_filter,
     sendable_chunks,
     small_chunks,
     token_budget,
@@ -37,6 +37,7 @@ from ..operators.training import (
     render_training_text,
 )
 from ..session import cut_lineage
+from ..sources.buckets import exclude_stored, write_bucketed, write_keys
 from ..sources.paths import version_numbers
 from ..sources.readers import (
     check_chunking,
@@ -85,10 +86,11 @@ def request_job(
     budget = token_budget(max_context)
     progress = read_progress(spark, progress_dir)
     check_chunking(progress, budget.target, budget.overlap)
-    finished = read_finished(spark, progress_dir, next_run(spark, progress_dir))
-    if retry_failed and finished is not None:
+    if retry_failed:
+        adopt_marks(progress, progress_dir)
         chunks = chunk_words(sections, budget.target, budget.overlap)
-        chunks = resume_failed(chunks, finished)
+        run = next_run(spark, progress_dir)
+        chunks = resume_failed(chunks, read_finished(spark, progress_dir, sections, run))
     else:
         chunks = chunk_words(sections, budget.target, budget.overlap, progress)
     requests = build_request(sendable_chunks(chunks), model, budget.safe_tokens)
@@ -101,6 +103,20 @@ def next_run(spark: SparkSession, progress_dir: str) -> int:
     return max(version_numbers(spark, progress_dir), default=0) + 1
 
 
+def adopt_marks(progress: DataFrame, progress_dir: str) -> None:
+    """Write the chunks up to progress marks that another program left as finished ones, once, before any run."""
+    folder = f"{progress_dir}/finished"
+    if not version_numbers(progress.sparkSession, folder, "run"):
+        numbers = F.explode(F.expr("sequence(1, done)")).alias("chunk_index")
+        write_bucketed(progress.where("done > 0").select("rel_path", numbers), folder, 0)
+
+
+def adopt_records(spark: SparkSession, qa_dir: str, keys_dir: str, but_run: int) -> None:
+    """Write the keys of records that were there before the key store, once."""
+    if not version_numbers(spark, keys_dir, "run"):
+        write_keys(read_existing_keys(spark, qa_dir, but=f"run={but_run}"), keys_dir, 0)
+
+
 def accept_job(
     responses: DataFrame,
     small: DataFrame,
@@ -114,27 +130,28 @@ def accept_job(
 
     Each run writes to folders of its own, and progress last. A rerun after a crash replaces them
     and compares with the records of other runs only. Replies are passed over by the finished
-    chunks, not by the high-water mark, so a chunk that failed before is taken when it comes again.
+    chunks, not by the high-water mark, so a chunk that failed before is taken when it comes again;
+    small chunks are finished too and reported once. The keys of stored records are read from the
+    buckets of the replies' files.
     """
     spark = responses.sparkSession
     budget = token_budget(max_context)
     progress = read_progress(spark, progress_dir)
     check_chunking(progress, budget.target, budget.overlap)
     run = next_run(spark, progress_dir)
-    finished = read_finished(spark, progress_dir, run)
-    if finished is None:  # progress that another program left: marks only
-        waiting = resume_filter(responses, progress)
-    else:
-        waiting = resume_failed(responses, finished)
-    checked = cut_lineage(check_replies(parse_replies(waiting)))
-    files = checked.select("rel_path").distinct()
-    existing = read_existing_keys(spark, qa_dir, but=f"run={run}")
-    existing = existing.join(files, "rel_path", "left_semi")
-    accepted = cut_lineage(accept_attempts(records_of(checked), existing, max_retries))
+    adopt_marks(progress, progress_dir)
+    finished = cut_lineage(read_finished(spark, progress_dir, responses, run))
+    checked = cut_lineage(check_replies(parse_replies(resume_failed(responses, finished))))
+    small = cut_lineage(resume_failed(small, read_finished(spark, progress_dir, small, run)))
+    keys_dir = f"{progress_dir}/keys"
+    adopt_records(spark, qa_dir, keys_dir, run)
+    records = exclude_stored(records_of(checked), keys_dir, checked, run)
+    accepted = cut_lineage(accept_attempts(records, max_retries=max_retries))
     failures = classify_failures(checked, accepted, small, max_retries=max_retries)
     write_run(failures, failures_dir, run)
     write_run(all_fields(accepted), qa_dir, run)
-    write_run(completed_chunks(accepted), f"{progress_dir}/finished", run, "parquet")
+    write_keys(accepted, keys_dir, run)
+    write_bucketed(completed_chunks(accepted, small), f"{progress_dir}/finished", run)
     write_progress(
         advance_progress(progress, accepted, small), progress_dir, budget.target, budget.overlap
     )

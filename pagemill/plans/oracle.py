@@ -392,6 +392,9 @@ WAITING = """
     AND NOT EXISTS (SELECT 1 FROM existing e WHERE e.rel_path = v.rel_path
                     AND e.instruction = v.instruction AND e.output = v.output)"""
 ALL_VALID = "SELECT * FROM valid WHERE attempt <= 3"
+PAST_MARKS = """
+  SELECT v.* FROM valid v LEFT JOIN progress p ON p.rel_path = v.rel_path
+  WHERE v.chunk_index > coalesce(p.done, 0) AND v.attempt <= 3"""
 ACCEPTED = (*REPLIES, EXISTING, REPLY_PROGRESS, accepted(WAITING, "rel_path"))
 RECORD_COLUMNS = "rel_path, chunk_index, attempt, pos, instruction, input, output"
 FAILURES = """
@@ -705,4 +708,30 @@ FROM progress""",
         "rel_path, CAST(attempt > 1 AS INTEGER), chunk_index, attempt"
     ),
     "accept_rerun": accepting("rel_path, chunk_index, attempt"),
+    "accept_after_marks": query(
+        *REPLIES,
+        REPLY_PROGRESS,
+        accepted(PAST_MARKS, "rel_path", "rel_path, CAST(attempt > 1 AS INTEGER), chunk_index, attempt"),
+        select=STORED,
+        recursive=True,
+    ),
+    "written_items": query(
+        RESPONSES,
+        scanned(("instruction",), False),
+        """
+chosen AS (
+  SELECT * FROM scanned WHERE items IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY rel_path, chunk_index ORDER BY attempt) = 1),
+items AS (
+  SELECT rel_path, chunk_index, attempt, unnest(items) AS item,
+         CAST(generate_subscripts(items, 1) AS INTEGER) AS pos FROM chosen)""",
+        select="""SELECT json_type(item) = 'OBJECT' AS is_object,
+       json_extract_string(item, '$.instruction') AS instruction
+FROM items""",
+    ),
+    "retry_small": query(
+        SECTIONS,
+        DYNAMIC,
+        select=f"SELECT rel_path, chunk_index FROM chunks WHERE length({strip('chunk')}) < 50",
+    ),
 }

@@ -16,6 +16,7 @@ from ..operators import replies as rp
 from ..operators import sections as sc
 from ..operators import training as tr
 from ..session import cut_lineage, scratch
+from ..sources import buckets as bk
 from ..streaming import incremental as inc
 from . import inputs
 
@@ -267,7 +268,12 @@ def _existing(spark, sf_dir):
 
 
 def exclude_existing(spark, sf_dir):
-    return rc.exclude_existing(valid_records(spark, sf_dir), _existing(spark, sf_dir))
+    """Against a key store of two runs: the third chunks' keys by file number, even and odd."""
+    folder = scratch(spark, "keys")
+    odd = F.regexp_extract("rel_path", "[0-9]+", 0).cast("long") % 2
+    for run in (0, 1):
+        bk.write_keys(_existing(spark, sf_dir).where(odd == run), folder, run)
+    return bk.exclude_stored(valid_records(spark, sf_dir), folder)
 
 
 def first_parsed(spark, sf_dir):

@@ -8,15 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.replies import is_object
+from ..operators import chunks as ck
 from ..operators import pages as pg
 from ..operators import records as rc
+from ..operators import replies as rp
 from ..operators import training as tr
 from ..session import scratch
 from ..sources import readers as rd
 from ..sources import writers as wr
 from ..streaming import incremental as inc
 from . import inputs, jobs
-from .queries import CONTEXT, MIN_WORDS, PART_SIZE, failures, valid_records
+from .queries import CONTEXT, MIN_WORDS, MODEL, PART_SIZE, failures, valid_records
 
 DOCS_PER_FILE = 50
 FIELDS = ["instruction", "input", "output"]
@@ -213,6 +216,42 @@ def accept_rerun(spark, sf_dir):
     return _stored(spark, f"{folder}/qa")
 
 
+def accept_after_marks(spark, sf_dir):
+    """Two runs after progress that another program left: chunks up to its marks stay finished in both."""
+    folder = scratch(spark, "accept")
+    budget = ck.token_budget(CONTEXT)
+    marks = inputs.reply_progress(spark, sf_dir)
+    wr.write_progress(marks, f"{folder}/progress", budget.target, budget.overlap)
+    replies = inputs.responses(spark, sf_dir)
+    for part in ("attempt <= 1", "attempt > 1"):
+        _accept(spark, replies.where(part), folder)
+    return _stored(spark, f"{folder}/qa")
+
+
+def retry_small(spark, sf_dir):
+    """Three runs that ask again for what failed: a small chunk is reported by the first alone."""
+    folder = scratch(spark, "retry")
+    sections = inputs.sections(spark, sf_dir)
+    replies = inputs.responses(spark, sf_dir)
+    places = [f"{folder}/{name}" for name in ("qa", "progress", "failures")]
+    for attempt in (1, 2, 3):
+        asked = f"{folder}/asked{attempt}"
+        small = jobs.request_job(sections, MODEL, CONTEXT, places[1], asked, retry_failed=True)
+        jobs.accept_job(replies.where(F.col("attempt") == attempt), small, CONTEXT, *places)
+    failed = spark.read.schema("rel_path string, chunk_index int, reason string").json(places[2])
+    return failed.where("reason = 'too_small'").select("rel_path", "chunk_index")
+
+
+def written_items(spark, sf_dir):
+    """Unchecked items as JSON lines, read back line by line."""
+    folder = scratch(spark, "items")
+    scanned = rp.scan_replies(inputs.responses(spark, sf_dir))
+    wr.write_items(rc.first_parsed_attempt(scanned), folder)
+    item = F.try_parse_json("value")
+    instruction = F.try_variant_get(item, "$.instruction", "string")
+    return spark.read.text(folder).select(is_object(item).alias("is_object"), instruction.alias("instruction"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -235,5 +274,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         settled_interleaved,
         accept_resumed_failed,
         accept_rerun,
+        accept_after_marks,
+        retry_small,
+        written_items,
     )
 }

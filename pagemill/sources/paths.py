@@ -21,14 +21,14 @@ def absolute_path(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(hadoop_path).toUri().getPath()
 
 
-def version_numbers(spark: SparkSession, folder: str) -> list[int]:
-    """Numbers of the completely written ``version=N`` folders."""
+def version_numbers(spark: SparkSession, folder: str, name: str = "version") -> list[int]:
+    """Numbers of the completely written ``version=N`` folders, or those of another name."""
     fs, hadoop_path = _file_system(spark, folder)
     if not fs.exists(hadoop_path):
         return []
     names = [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
-    numbers = [int(n.removeprefix("version=")) for n in names if n.startswith("version=")]
-    return sorted(n for n in numbers if path_exists(spark, f"{folder}/version={n}/_SUCCESS"))
+    numbers = [int(n.removeprefix(f"{name}=")) for n in names if n.startswith(f"{name}=")]
+    return sorted(n for n in numbers if path_exists(spark, f"{folder}/{name}={n}/_SUCCESS"))
 
 
 def latest_version(spark: SparkSession, folder: str) -> str | None:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.replies import FIELDS
+from .buckets import read_bucketed
 from .paths import absolute_path, latest_version, path_exists
 
 PAGES_SCHEMA = "doc string, page_number int, text string"
@@ -169,12 +170,11 @@ def read_progress(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(STORED_PROGRESS_SCHEMA).parquet(version)
 
 
-def read_finished(spark: SparkSession, folder: str, but_run: int) -> DataFrame | None:
-    """Finished (rel_path, chunk_index) pairs of all runs but one; none if no run has stored any."""
-    if not path_exists(spark, f"{folder}/finished"):
-        return None
-    rows = spark.read.schema(FINISHED_SCHEMA + ", run int").parquet(f"{folder}/finished")
-    return rows.where(F.col("run") != but_run).select("rel_path", "chunk_index")
+def read_finished(
+    spark: SparkSession, folder: str, files: DataFrame | None = None, but_run: int | None = None
+) -> DataFrame:
+    """Finished (rel_path, chunk_index) pairs of all runs but one, in the buckets of the files."""
+    return read_bucketed(spark, f"{folder}/finished", FINISHED_SCHEMA, files, but_run)
 
 
 def read_progress_json(spark: SparkSession, path: str) -> DataFrame:

@@ -23,10 +23,8 @@ from ..operators.records import (
 )
 from ..operators.replies import check_replies, parse_replies, records_of
 from ..session import cut_lineage
-from ..sources.paths import path_exists
-from ..sources.readers import FINISHED_SCHEMA, any_case_glob, file_path, qa_path, relative_to
-
-KEYS_SCHEMA = "rel_path string, instruction string, output string, batch_id long"
+from ..sources.buckets import exclude_stored, write_bucketed, write_keys
+from ..sources.readers import any_case_glob, file_path, qa_path, read_finished, relative_to
 
 
 def stream_sections(
@@ -85,19 +83,19 @@ class ReplyStore:
     def failures(self) -> str:
         return f"{self.folder}/failures"
 
-    def existing_keys(self, spark: SparkSession, batch_id: int | None = None) -> DataFrame:
-        """Keys of the accepted records of all batches but ``batch_id``."""
-        return _other_batches(spark, self.qa, KEYS_SCHEMA, "json", batch_id)
+    @property
+    def keys(self) -> str:
+        return f"{self.folder}/keys"
 
-    def finished(self, spark: SparkSession, batch_id: int | None = None) -> DataFrame:
-        """Chunks with accepted records over all batches but ``batch_id``."""
-        schema = FINISHED_SCHEMA + ", batch_id long"
-        return _other_batches(spark, self.progress, schema, "parquet", batch_id)
+    def finished(
+        self, spark: SparkSession, files: DataFrame | None = None, batch_id: int | None = None
+    ) -> DataFrame:
+        """Chunks with accepted records over all batches but ``batch_id``, in the buckets of the files."""
+        return read_finished(spark, self.progress, files, batch_id)
 
-    def done(self, spark: SparkSession, batch_id: int | None = None) -> DataFrame:
+    def done(self, spark: SparkSession) -> DataFrame:
         """High-water mark per file, derived from the finished chunks."""
-        pairs = self.finished(spark, batch_id)
-        return pairs.groupBy("rel_path").agg(F.max("chunk_index").alias("done"))
+        return self.finished(spark).groupBy("rel_path").agg(F.max("chunk_index").alias("done"))
 
 
 def accept_batch(
@@ -106,17 +104,17 @@ def accept_batch(
     """One batch of replies against what all other batches stored; safe to repeat.
 
     Replies may arrive in any order: only chunks that are finished themselves are passed over, so
-    a chunk that failed, or comes after later ones, is still taken.
+    a chunk that failed, or comes after later ones, is still taken. Of what is stored the batch
+    reads narrow rows in the buckets of its own files.
     """
     spark = responses.sparkSession
-    fresh = resume_failed(responses, store.finished(spark, batch_id))
-    checked = cut_lineage(check_replies(parse_replies(fresh)))
-    # Only files with replies in this batch can clash, so the rest of the store is left out early.
-    files = fresh.select("rel_path").distinct()
-    existing = store.existing_keys(spark, batch_id).join(files, "rel_path", "left_semi")
-    accepted = cut_lineage(accept_attempts(records_of(checked), existing, max_retries))
+    finished = cut_lineage(store.finished(spark, responses, batch_id))
+    checked = cut_lineage(check_replies(parse_replies(resume_failed(responses, finished))))
+    records = exclude_stored(records_of(checked), store.keys, checked, batch_id)
+    accepted = cut_lineage(accept_attempts(records, max_retries=max_retries))
     _write_batch(accepted, store.qa, batch_id, "json")
-    _write_batch(completed_chunks(accepted), store.progress, batch_id)
+    write_keys(accepted, store.keys, batch_id)
+    write_bucketed(completed_chunks(accepted), f"{store.progress}/finished", batch_id)
     failures = classify_failures(checked, accepted, max_retries=max_retries)
     _write_batch(failures, store.failures, batch_id, "json")
 
@@ -144,13 +142,3 @@ def _run(stream: DataFrame, write, checkpoint: str) -> None:
 
 def _write_batch(rows: DataFrame, folder: str, batch_id: int, format: str = "parquet") -> None:
     rows.write.mode("overwrite").format(format).save(f"{folder}/batch_id={batch_id}")
-
-
-def _other_batches(
-    spark: SparkSession, folder: str, schema: str, format: str, batch_id: int | None
-) -> DataFrame:
-    """All batches' rows; the batch folder is a partition, so the one left out is not read."""
-    if not path_exists(spark, folder):
-        return spark.createDataFrame([], schema)
-    rows = spark.read.schema(schema).format(format).load(folder)
-    return rows if batch_id is None else rows.where(F.col("batch_id") != batch_id)
