@@ -46,11 +46,6 @@ def full_text(pages: DataFrame, volume_pages: int = VOLUME_PAGES) -> DataFrame:
     return _assemble(clean_pages(pages).withColumn("volume", volume), "doc", "volume")
 
 
-def small_document_text(pages: DataFrame) -> DataFrame:
-    """One row per document; only for documents known to be at most one volume long."""
-    return _assemble(clean_pages(pages), "doc")
-
-
 def _assemble(pages: DataFrame, *keys: str) -> DataFrame:
     ordered = F.sort_array(F.collect_list(F.struct("page_number", "text")))
     texts = F.transform(ordered, lambda p: p["text"])
@@ -58,7 +53,7 @@ def _assemble(pages: DataFrame, *keys: str) -> DataFrame:
 
 
 def small_documents(pages: DataFrame) -> DataFrame:
-    """As ``small_document_text`` in one row for every document, with its empty pages' numbers."""
+    """Text of documents of at most one volume, one row for every document, with its empty pages' numbers."""
     page = F.struct("page_number", strip_control_chars(F.col("text")).alias("text"))
     kept = F.sort_array(F.collect_list(F.when(has_text(), page)))
     empty = F.sort_array(F.collect_list(F.when(~has_text(), F.col("page_number"))))
@@ -108,6 +103,11 @@ def blank_documents(pages: DataFrame) -> DataFrame:
     )
 
 
+def nonblank_volumes(pages: DataFrame, volume_pages: int = VOLUME_PAGES) -> DataFrame:
+    """``full_text`` without the documents that have no text; told from the pages, so any length will do."""
+    return full_text(pages, volume_pages).join(blank_documents(pages), "doc", "left_anti")
+
+
 def drop_blank_documents(texts: DataFrame) -> DataFrame:
     return texts.where(~is_blank(F.col("text")))
 

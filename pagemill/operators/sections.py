@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import (
+    bind,
     clean_body,
     cut_fixed,
     heading_number,
@@ -34,7 +35,7 @@ from .pages import (
     part_by_length,
     small_documents,
 )
-from .spanning import merge_short_spanning, spanning_sections
+from .spanning import heading_rows, merge_short_spanning, spanning_sections
 
 MIN_WORDS = 100
 PART_SIZE = 4000
@@ -74,19 +75,45 @@ def _after_preamble(pieces: Column) -> Column:
     return F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
 
 
+def _headings(pieces: DataFrame) -> DataFrame:
+    return pieces.select(
+        "doc",
+        "seq",
+        heading_number(F.col("piece")).alias("number"),
+        heading_title(F.col("piece")).alias("raw_title"),
+        strip(piece_text(F.col("piece"))).alias("content"),
+    )
+
+
 def split_headings(texts: DataFrame) -> DataFrame:
     """One row per numbered heading: number, title as written, text up to the next heading."""
     pieces = texts.select("doc", heading_pieces(F.col("text")).alias("pieces"))
-    return (
-        pieces.select("doc", F.posexplode(_after_preamble(F.col("pieces"))).alias("i", "piece"))
-        .select(
-            "doc",
-            (F.col("i") + 1).cast("int").alias("seq"),
-            heading_number(F.col("piece")).alias("number"),
-            heading_title(F.col("piece")).alias("raw_title"),
-            strip(piece_text(F.col("piece"))).alias("content"),
-        )
-    )
+    placed = pieces.select("doc", F.posexplode(_after_preamble(F.col("pieces"))).alias("i", "piece"))
+    return _headings(placed.select("doc", (F.col("i") + 1).cast("int").alias("seq"), "piece"))
+
+
+def _texts_and_volumes(pages: DataFrame, volume_pages: int) -> tuple[DataFrame, DataFrame | None]:
+    """Whole texts of documents of one volume, and the volumes of longer ones, written, or None."""
+    small_pages, long_pages = part_by_length(pages, volume_pages)
+    texts = full_text(small_pages, volume_pages).select("doc", "text")
+    return texts, None if long_pages is None else cut_lineage(full_text(long_pages, volume_pages))
+
+
+def document_headings(pages: DataFrame, volume_pages: int = VOLUME_PAGES) -> DataFrame:
+    """``split_headings`` of documents of any length, from their pages; a long one is never gathered."""
+    texts, volumes = _texts_and_volumes(pages, volume_pages)
+    found = split_headings(texts)
+    return found if volumes is None else found.unionByName(_headings(heading_rows(volumes)))
+
+
+def documents_without_headings(pages: DataFrame, volume_pages: int = VOLUME_PAGES) -> DataFrame:
+    """``without_headings`` of documents of any length."""
+    texts, volumes = _texts_and_volumes(pages, volume_pages)
+    found = without_headings(texts)
+    if volumes is None:
+        return found
+    with_headings = heading_rows(volumes).select("doc").distinct()
+    return found.unionByName(volumes.select("doc").distinct().join(with_headings, "doc", "left_anti"))
 
 
 def section_titles(headings: DataFrame) -> DataFrame:
@@ -163,14 +190,15 @@ def _merged(short: Column, part_size: int, min_words: int) -> Column:
 
 
 def _finished(found: DataFrame, min_words: int, part_size: int) -> DataFrame:
-    """Long sections and merged short ones, in one pass over each document's array."""
+    """Long sections and merged short ones, of equal titles the last, in one pass over each document's array."""
     parted = found.select(
         "doc",
         F.filter("found", _long_enough(min_words)).alias("long"),
         F.filter("found", lambda s: s["words"] < min_words).alias("short"),
     )
     merged = _merged(F.col("short"), part_size, min_words)
-    return parted.select("doc", F.inline(F.concat("long", merged)))
+    rows = parted.select("doc", F.inline_outer(_last_of_titles(F.concat("long", merged))))
+    return rows.where(F.col("seq").isNotNull())
 
 
 def short_merged(
@@ -185,11 +213,30 @@ def short_merged(
 def last_write_wins(sections: DataFrame) -> DataFrame:
     """Of sections with equal document and title the last one stays.
 
-    An aggregate rather than a window: a title repeated everywhere is combined before any shuffle.
+    Decided on numbers alone, combined before any shuffle; the texts only meet the places that stay.
     """
-    last = F.max(F.struct("seq", "kind", "content", "words")).alias("last")
-    kept = sections.groupBy("doc", "title").agg(last)
-    return kept.select("doc", "last.seq", "last.kind", "title", "last.content", "last.words")
+    last = sections.groupBy("doc", "title").agg(F.max("seq").alias("seq"))
+    return sections.join(last, ["doc", "title", "seq"], "left_semi").select(*SECTION_COLUMNS)
+
+
+def _last_of_titles(sections: Column) -> Column:
+    """The same within one document's array, without a shuffle: places sorted by title and number."""
+
+    def places(found: Column) -> Column:
+        named = F.transform(found, lambda s, i: F.struct(s["title"], s["seq"], i.alias("at")))
+        return F.sort_array(named)
+
+    def last_places(ordered: Column) -> Column:
+        following = F.slice(ordered, F.lit(2), F.size(ordered))
+        ends = F.zip_with(
+            ordered, following, lambda a, b: F.when(b.isNull() | (a["title"] != b["title"]), a["at"])
+        )
+        return F.sort_array(F.filter(ends, lambda at: at.isNotNull()))
+
+    return bind(
+        sections,
+        lambda found: F.transform(bind(places(found), last_places), lambda at: F.get(found, at)),
+    )
 
 
 @dataclass(frozen=True)
@@ -217,13 +264,21 @@ class RoutedDocuments:
     def sections(self) -> DataFrame:
         """Long sections and merged short ones; of equal titles the last."""
         sections = _finished(self.small, self.min_words, self.part_size)
-        if self.long is not None:
-            merged = merge_short_spanning(
-                short_sections(self.long, self.min_words), self.min_words, self.part_size
-            )
-            sections = sections.unionByName(long_sections(self.long, self.min_words))
-            sections = sections.unionByName(merged)
-        return last_write_wins(sections)
+        if self.long is None:
+            return sections
+        of_long = long_sections(self.long, self.min_words).unionByName(self._merged_long())
+        return sections.unionByName(last_write_wins(of_long))
+
+    def merged(self) -> DataFrame:
+        """Short sections joined and cut anew."""
+        short = F.filter("found", lambda s: s["words"] < self.min_words)
+        parts = _merged(F.col("short"), self.part_size, self.min_words)
+        merged = self.small.select("doc", short.alias("short")).select("doc", F.inline(parts))
+        return merged if self.long is None else merged.unionByName(self._merged_long())
+
+    def _merged_long(self) -> DataFrame:
+        short = short_sections(self.long, self.min_words)
+        return cut_lineage(merge_short_spanning(short, self.min_words, self.part_size))
 
     def log(self) -> DataFrame:
         """What was left out or merged: doc, event, page_number, title, n."""

@@ -130,8 +130,11 @@ def _settled_volumes(volumes: DataFrame) -> DataFrame:
     )
 
 
-def _heading_sections(volumes: DataFrame) -> DataFrame:
-    """Sections by heading; text before a volume's first heading continues an earlier section."""
+def heading_rows(volumes: DataFrame) -> DataFrame:
+    """(doc, seq, piece): a document's headings with what follows each up to the next.
+
+    Text before a volume's first heading continues an earlier piece.
+    """
     pieces = cut_lineage(
         _settled_volumes(volumes).select(
             "doc", "volume", heading_pieces(F.col("text")).alias("pieces")
@@ -161,10 +164,14 @@ def _heading_sections(volumes: DataFrame) -> DataFrame:
         .join(continued, ["doc", "volume"], "left")
         .select("doc", "base", F.posexplode(completed).alias("i", "piece"))
     )
+    return rows.select("doc", (F.col("base") + F.col("i") + 1).cast("int").alias("seq"), "piece")
+
+
+def _heading_sections(volumes: DataFrame) -> DataFrame:
     content = piece_text(F.col("piece"))
-    return rows.select(
+    return heading_rows(volumes).select(
         "doc",
-        (F.col("base") + F.col("i") + 1).cast("int").alias("seq"),
+        "seq",
         F.lit("heading").alias("kind"),
         section_name(heading_number(F.col("piece")), heading_title(F.col("piece"))).alias("title"),
         strip(content).alias("content"),

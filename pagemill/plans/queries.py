@@ -33,12 +33,12 @@ def _documents(spark, sf_dir):
     return inputs.documents(spark, sf_dir).select(F.col("doc_id").alias("doc"), "text")
 
 
-def _texts(spark, sf_dir):
-    return pg.small_document_text(inputs.pages(spark, sf_dir))
+def _headings(spark, sf_dir):
+    return sc.document_headings(inputs.pages(spark, sf_dir))
 
 
-def _headings(spark, sf_dir):
-    return sc.section_titles(sc.split_headings(_texts(spark, sf_dir)))
+def _routed(spark, sf_dir):
+    return sc.route_documents(inputs.pages(spark, sf_dir), MIN_WORDS, PART_SIZE).kept()
 
 
 # Chunks and requests
@@ -164,23 +164,23 @@ def extraction_stats(spark, sf_dir):
 
 
 def heading_sections(spark, sf_dir):
-    return sc.split_headings(_texts(spark, sf_dir))
+    return _headings(spark, sf_dir)
 
 
 def section_titles(spark, sf_dir):
-    return _headings(spark, sf_dir).select("doc", "seq", "title")
+    return sc.section_titles(_headings(spark, sf_dir)).select("doc", "seq", "title")
 
 
 def early_sections(spark, sf_dir):
-    return sc.early_sections(sc.split_headings(_texts(spark, sf_dir)))
+    return sc.early_sections(_headings(spark, sf_dir))
 
 
 def no_heading_docs(spark, sf_dir):
-    return sc.without_headings(_texts(spark, sf_dir))
+    return sc.documents_without_headings(inputs.pages(spark, sf_dir))
 
 
 def routed_sections(spark, sf_dir):
-    return sc.routed_sections(_texts(spark, sf_dir), MIN_WORDS, PART_SIZE)
+    return sc.route_documents(inputs.pages(spark, sf_dir), MIN_WORDS, PART_SIZE).rows()
 
 
 def short_sections(spark, sf_dir):
@@ -188,11 +188,11 @@ def short_sections(spark, sf_dir):
 
 
 def short_merged(spark, sf_dir):
-    return sc.short_merged(_texts(spark, sf_dir), MIN_WORDS, PART_SIZE)
+    return _routed(spark, sf_dir).merged()
 
 
 def last_write_wins(spark, sf_dir):
-    return sc.last_write_wins(sc.long_sections(routed_sections(spark, sf_dir), MIN_WORDS))
+    return sc.last_write_wins(sc.long_sections(_routed(spark, sf_dir).rows(), MIN_WORDS))
 
 
 def sections_final(spark, sf_dir):
@@ -213,7 +213,8 @@ def extraction_log_long_documents(spark, sf_dir):
 
 
 def nonblank_documents(spark, sf_dir):
-    return pg.drop_blank_documents(_texts(spark, sf_dir))
+    pages = inputs.pages(spark, sf_dir)
+    return pg.nonblank_volumes(pages).select("doc", "text")
 
 
 # Replies and records

@@ -189,3 +189,44 @@ def test_many_long_documents_are_told_apart_by_salted_join(spark, monkeypatch):
     expected = rows(sc.split_documents(pages, 1, 50), "doc", "title", "content")
     monkeypatch.setattr(pg, "BROADCAST_DOCS", 1)
     assert rows(sc.split_documents(pages, 1, 50, 3), "doc", "title", "content") == expected
+
+
+def _odd_pages(spark):
+    lines = ["1.1 One", "text", "2.3", "", "Title below", "1.1 One", "more words here", "9", "4.5.6  Deep  .... 12", " "]
+    pages = []
+    for d in range(12):
+        for n in range(1, 14):
+            some = [lines[(d * 7 + n * k + k * k) % len(lines)] for k in range(d % 4 + (n % 5 > 0))]
+            pages.append((f"d{d}", n, "\n".join(some) if d != 5 else " "))
+    return spark.createDataFrame(pages, PAGES).repartition(5)
+
+
+def test_single_steps_do_not_depend_on_the_volumes(spark):
+    """Each step where a document of more than three pages is too long to gather, and where none is."""
+    pages = _odd_pages(spark)
+    steps = {
+        "headings": (sc.document_headings, ["doc", "seq", "number", "raw_title", "content"]),
+        "none": (sc.documents_without_headings, ["doc"]),
+        "routed": (lambda p, v: sc.route_documents(p, 3, 40, v).rows(), sc.SECTION_COLUMNS),
+        "merged": (lambda p, v: sc.route_documents(p, 3, 40, v).merged(), sc.SECTION_COLUMNS),
+        "final": (lambda p, v: sc.split_documents(p, 3, 40, v), sc.SECTION_COLUMNS),
+        "nonblank": (lambda p, v: pg.nonblank_volumes(p, v).select("doc").distinct(), ["doc"]),
+    }
+    for name, (step, columns) in steps.items():
+        whole, cut = (rows(step(pages, volume_pages), *columns) for volume_pages in (1000, 3))
+        assert whole and whole == cut, name
+
+
+def test_last_write_wins_in_the_array_as_over_rows(spark):
+    pages = _odd_pages(spark)
+    kept = sc.route_documents(pages, 2, 40).kept()
+    every = sc.long_sections(kept.rows(), 2).unionByName(kept.merged())
+    assert rows(kept.sections(), *sc.SECTION_COLUMNS) == rows(sc.last_write_wins(every), *sc.SECTION_COLUMNS)
+    assert kept.sections().count() < every.count()
+
+
+def test_the_split_moves_each_text_once(spark):
+    """The written plan after assembly: no shuffle or sort of texts but the one into the document folders."""
+    sections = sc.route_documents(_odd_pages(spark), 2, 40).kept().sections()
+    plan = sections.hint("rebalance", "doc")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "SortAggregate" not in plan and "Join" not in plan
