@@ -257,6 +257,11 @@ class RoutedDocuments:
         """The same, written once for several readers."""
         return replace(self, small=cut_lineage(self.small))
 
+    def docs(self) -> DataFrame:
+        """Every document, those without sections included."""
+        docs = self.small.select("doc")
+        return docs if self.long is None else docs.unionByName(self.long_pages.select("doc").distinct())
+
     def rows(self) -> DataFrame:
         rows = _rows(self.small)
         return rows if self.long is None else rows.unionByName(self.long)

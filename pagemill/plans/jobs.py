@@ -66,8 +66,8 @@ def split_job(
 ) -> None:
     """Sections and extraction log from one pass over the pages."""
     routed = route_documents(pages, min_words, part_size, volume_pages).kept()
-    write_sections(routed.sections(), sections_dir)
-    write_extract_log(routed.log(), log_dir)
+    write_sections(routed.sections(), sections_dir, routed.docs())
+    write_extract_log(routed.log(), log_dir, routed.docs())
 
 
 def request_job(

@@ -271,10 +271,11 @@ def _existing(spark, sf_dir):
 def exclude_existing(spark, sf_dir):
     """Against a key store of two runs: the third chunks' keys by file number, even and odd."""
     folder = scratch(spark, "keys")
-    odd = F.regexp_extract("rel_path", "[0-9]+", 0).cast("long") % 2
+    valid = cut_lineage(valid_records(spark, sf_dir))
+    number = F.regexp_extract("rel_path", "[0-9]+", 0).cast("long")
     for run in (0, 1):
-        bk.write_keys(_existing(spark, sf_dir).where(odd == run), folder, run)
-    return bk.exclude_stored(valid_records(spark, sf_dir), folder)
+        bk.write_keys(valid.where((F.col("chunk_index") == 3) & (number % 2 == run)), folder, run)
+    return bk.exclude_stored(valid, folder)
 
 
 def first_parsed(spark, sf_dir):

@@ -93,8 +93,7 @@ def section_table(spark, sf_dir):
 
 
 def extract_log_files(spark, sf_dir):
-    schema = "doc string, event string, page_number int, title string, n int"
-    return spark.read.schema(schema).json(_split(spark, sf_dir)[1])
+    return rd.read_extract_log(spark, _split(spark, sf_dir)[1])
 
 
 def full_text_table(spark, sf_dir):

@@ -1,7 +1,7 @@
-"""Narrow tables kept by run and by hash bucket of the section file, and the keys of stored records as one.
+"""Tables kept by run: rows of documents; by hash bucket too: finished chunks, keys of stored records.
 
-A batch reads the buckets its own files fall into and no others. A run's rows are a folder of their own,
-replaced when the run is repeated.
+A run's rows are a folder of their own, replaced when the run is repeated. Folders do not grow with the
+number of documents or files; a batch reads the buckets its own files fall into and no others.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .paths import path_exists
+from .paths import path_exists, version_numbers
 
 BUCKETS = 64
 #: Bits of a filter, in bitmaps of 32,768: 2 MiB to send, however many keys it is made of.
@@ -22,7 +22,10 @@ def file_bucket() -> Column:
 
 
 def write_bucketed(rows: DataFrame, folder: str, run: int) -> None:
-    """``rows`` has ``rel_path`` or, if that is not to be kept, ``bucket`` already."""
+    """``rows`` has ``rel_path`` or, if that is not to be kept, ``bucket`` already.
+
+    The hint gathers a bucket's rows into few files and splits one that is huge over several tasks.
+    """
     if "bucket" not in rows.columns:
         rows = rows.withColumn("bucket", file_bucket())
     gathered = rows.hint("rebalance", F.col("bucket"))
@@ -49,6 +52,35 @@ def read_bucketed(
     return rows.select(*columns)
 
 
+def write_documents(rows: DataFrame, docs: DataFrame, folder: str, format: str = "parquet") -> int:
+    """Replace the rows of ``docs`` (one column ``doc``, each once) by ``rows``; other documents keep theirs.
+
+    Rows go to a run of their own, then the list of its documents, which makes it count. A run that broke off
+    before its list was written is replaced by the next. A document of the list without rows has none any more.
+    """
+    numbers = version_numbers(rows.sparkSession, f"{folder}/documents", "run")
+    run = (numbers[-1] if numbers else 0) + 1
+    # A document's rows come to lie together; one with very many is split over several tasks.
+    gathered = rows.hint("rebalance", F.col("doc"))
+    gathered.write.mode("overwrite").format(format).save(f"{folder}/rows/run={run}")
+    docs.select("doc").write.mode("overwrite").parquet(f"{folder}/documents/run={run}")
+    return run
+
+
+def read_documents(spark: SparkSession, folder: str, schema: str, format: str = "parquet") -> DataFrame:
+    """Every document's rows as its last run wrote them; ``schema`` has a column ``doc``."""
+    numbers = version_numbers(spark, f"{folder}/documents", "run")
+    if not numbers:
+        return spark.createDataFrame([], schema)
+    kept = f"run <= {numbers[-1]}"
+    rows = spark.read.schema(f"{schema}, run long").format(format).load(f"{folder}/rows").where(kept)
+    if len(numbers) > 1:
+        docs = spark.read.schema("doc string, run long").parquet(f"{folder}/documents")
+        last = docs.where(kept).groupBy("doc").agg(F.max("run").alias("run"))
+        rows = rows.join(last, ["doc", "run"], "left_semi")
+    return rows.drop("run")
+
+
 def record_key() -> Column:
     """A stored record's key: 256 bits of file, instruction and output, lengths first to keep them apart."""
     lengths = F.concat_ws(":", F.length("rel_path"), F.length("instruction"), F.lit(""))

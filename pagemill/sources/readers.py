@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.replies import FIELDS
-from .buckets import read_bucketed
+from .buckets import read_bucketed, read_documents
 from .paths import absolute_path, latest_version, path_exists
 
 PAGES_SCHEMA = "doc string, page_number int, text string"
@@ -14,6 +14,7 @@ QA_SCHEMA = "rel_path string, instruction string, input string, output string"
 PROGRESS_SCHEMA = "rel_path string, done int"
 FINISHED_SCHEMA = "rel_path string, chunk_index int"
 SECTIONS_SCHEMA = "doc string, title string, content string"
+LOG_SCHEMA = "doc string, event string, page_number int, title string, n int"
 STORED_PROGRESS_SCHEMA = PROGRESS_SCHEMA + ", target int, overlap int"
 
 
@@ -84,17 +85,19 @@ def read_sections(spark: SparkSession, folder: str, ext: str = ".txt") -> DataFr
 
 
 def read_section_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Sections as the split job writes them: rel_path, out_path, text, ready for requests.
-
-    The document's name is read as text, whatever it looks like.
-    """
-    rows = spark.read.schema(SECTIONS_SCHEMA).parquet(folder)
+    """Sections as the split job writes them: rel_path, out_path, text, ready for requests."""
+    rows = read_documents(spark, folder, SECTIONS_SCHEMA)
     rel_path = F.concat_ws("/", "doc", F.concat("title", F.lit(".txt")))
     return rows.select(
         rel_path.alias("rel_path"), qa_path(rel_path).alias("out_path"), F.col("content").alias("text")
     )
 
 
+def read_extract_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The extraction log as the split job writes it."""
+    return read_documents(spark, folder, LOG_SCHEMA, "json")
+
+
 def read_text_dump(spark: SparkSession, path: str) -> DataFrame:
     """One whole-text file as a document."""
     files = spark.read.text(path, wholetext=True)

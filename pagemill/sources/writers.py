@@ -6,29 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.replies import FIELDS
+from .buckets import write_documents
 from .paths import version_numbers
 
 
-def write_sections(sections: DataFrame, folder: str) -> None:
-    """One folder per document; a document written again replaces its sections and no other's.
+def write_sections(sections: DataFrame, folder: str, docs: DataFrame | None = None) -> None:
+    """A document written again replaces its sections and no other's; no folder or file of its own.
 
-    The rebalance hint gathers a document's rows into few files and splits a huge document over
-    several tasks, where a repartition by document would put it all in one.
+    ``docs`` are the documents of this run, those without sections included; by default those with some.
     """
-    _by_doc(sections).mode("overwrite").parquet(folder)
+    write_documents(sections, _docs(sections, docs), folder)
 
 
-def write_extract_log(log: DataFrame, folder: str) -> None:
+def write_extract_log(log: DataFrame, folder: str, docs: DataFrame | None = None) -> None:
     """Per document, replaced on every run."""
-    _by_doc(log).mode("overwrite").json(folder)
+    write_documents(log, _docs(log, docs), folder, "json")
 
 
-def _by_doc(rows: DataFrame):
-    return (
-        rows.hint("rebalance", F.col("doc"))
-        .write.partitionBy("doc")
-        .option("partitionOverwriteMode", "dynamic")
-    )
+def _docs(rows: DataFrame, docs: DataFrame | None) -> DataFrame:
+    return (rows if docs is None else docs).select("doc").distinct()
 
 
 def write_full_text(texts: DataFrame, folder: str) -> None:

@@ -92,9 +92,9 @@ def test_jobs_end_to_end(spark, tmp_path):
         "doc string, page_number int, text string",
     )
     jobs.split_job(pages, path("sections"), path("log"))
-    written = spark.read.parquet(path("sections"))
-    assert {r["title"] for r in written.collect()} == {"1.1_Alpha", "1.2_Beta", "part_001"}
-    sections = written.selectExpr("concat(doc, '/', title, '.txt') AS rel_path", "content AS text")
+    sections = rd.read_section_table(spark, path("sections"))
+    names = {"doc/1.1_Alpha.txt", "doc/1.2_Beta.txt", "plain/part_001.txt"}
+    assert {r["rel_path"] for r in sections.collect()} == names
 
     small = jobs.request_job(sections, "m", 4096, path("progress"), path("requests"))
     sent = spark.read.parquet(path("requests"))

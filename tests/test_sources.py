@@ -53,8 +53,26 @@ def test_sections_of_a_document_are_replaced_together(spark, tmp_path):
     path = str(tmp_path / "sections")
     wr.write_sections(spark.createDataFrame([("a", 1, "heading", "t1", "x", 1), ("a", 2, "heading", "t2", "x", 1), ("b", 1, "part", "p", "y", 1)], SECTIONS), path)
     wr.write_sections(spark.createDataFrame([("a", 1, "heading", "t3", "z", 1)], SECTIONS), path)
-    found = {(r["doc"], r["title"], r["content"]) for r in spark.read.parquet(path).collect()}
-    assert found == {("a", "t3", "z"), ("b", "p", "y")}
+
+    def found():
+        return {(r["rel_path"], r["text"]) for r in rd.read_section_table(spark, path).collect()}
+
+    assert found() == {("a/t3.txt", "z"), ("b/p.txt", "y")}
+    none = spark.createDataFrame([], SECTIONS)
+    wr.write_sections(none, path, spark.createDataFrame([("b",), ("b",), ("c",)], "doc string"))
+    assert found() == {("a/t3.txt", "z")}
+    broken = spark.createDataFrame([("a", 1, "heading", "t9", "lost", 1)], SECTIONS)
+    broken.write.parquet(f"{path}/rows/run=4")
+    assert found() == {("a/t3.txt", "z")}  # a run that broke off before its documents were listed
+    wr.write_sections(spark.createDataFrame([("b", 1, "part", "q", "new", 1)], SECTIONS), path)
+    assert found() == {("a/t3.txt", "z"), ("b/q.txt", "new")}
+
+
+def test_folders_do_not_grow_with_documents(spark, tmp_path):
+    rows = [(f"d{k}", 1, "part", "p", "x", 1) for k in range(2000)]
+    wr.write_sections(spark.createDataFrame(rows, SECTIONS), str(tmp_path / "s"))
+    files = [f for f in (tmp_path / "s").rglob("*.parquet")]
+    assert len(files) <= 16 and rd.read_section_table(spark, str(tmp_path / "s")).count() == 2000
 
 
 def test_qa_round_trip(spark, tmp_path):
