@@ -164,7 +164,7 @@ def test_urls(spark):
         ("www.example.org", "/es/1", "example.org/es/", "block"), ("a.example.com", "/de/5", "com/de/", "block"), ("spam-farm.example.net", "/en/1", None, "block"),
         ("x.org", "", None, "allow"), ("", "", None, "allow"), ("", "", None, "allow"), ("notexample.org", "/en/12", "org/", "allow"), ("sub.example.org", "/en/12.html", "example.org/en/1", "block"),
     ]
-    assert urls.segment("cheappills", {"cheap": -2.0, "pills": -2.0}, -9.0) == ["cheap", "pills"]
+    assert urls.segment("cheappills", {(0, 5): 2.0, (5, 10): 2.0}) == ["cheap", "pills"]
     assert urls.judge(spark.createDataFrame([], "page_id long, url string")).collect() == []
 
 
