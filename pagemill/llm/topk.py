@@ -17,10 +17,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.llm.common import as_batch
-from pagemill.session import cut_lineage
+from pagemill.session import cut_lineage, scratch
 
 #: Candidates of a bucket and queries of a block.
 BUCKET, BLOCK = 4096, 512
+#: Bytes of queries that every task gets at a time, and of first buckets that it gets at most.
+PASS_BYTES = 32 << 20
 #: From this local cosine on, coordinates prune better than lengths; how many of them are looked at.
 COORDINATES_FROM, FOCUS = 0.4, 4
 SCALE = 256
@@ -30,10 +32,10 @@ _BLOCK_SCHEMA = pa.schema([("block", pa.int64()), ("dims", pa.int32()), ("longes
 
 
 def integer_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(vec_id, dims, norm, data): floor(256 x) of each component as little-endian 64-bit integers.
+    """(vec_id, dims, norm, data): floor(256 x) of each component, whole numbers kept as little-endian doubles.
 
-    Rows whose id or vector is null, or whose vector holds a null, NaN or infinite component, or one beyond
-    32 bits, are left out.
+    Rows whose id or vector is null, or whose vector holds a null, NaN or infinite component (256 x counts), are
+    left out.
     """
     schema = pa.schema([("vec_id", pa.int64()), ("dims", pa.int32()), ("norm", pa.float64()), ("data", pa.binary())])
 
@@ -43,9 +45,10 @@ def integer_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
             for vec_id, vector in zip(batch.column("vec_id").to_pylist(), batch.column("v"), strict=True):
                 if vec_id is None or not vector.is_valid or vector.values.null_count:
                     continue
-                scaled = np.floor(SCALE * vector.values.to_numpy(zero_copy_only=False).astype(np.float64))
-                if np.isfinite(scaled).all() and (np.abs(scaled) < 1 << 31).all():
-                    rows.append((vec_id, len(scaled), float(np.sqrt(scaled @ scaled)), scaled.astype("<i8").tobytes()))
+                with np.errstate(over="ignore"):
+                    scaled = np.floor(SCALE * vector.values.to_numpy(zero_copy_only=False).astype(np.float64))
+                if np.isfinite(scaled).all():
+                    rows.append((vec_id, len(scaled), float(_lengths(scaled[None, :])[0]), scaled.astype("<f8").tobytes()))
             if rows:
                 yield as_batch(schema, *zip(*rows, strict=True))
 
@@ -85,23 +88,33 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
 
 def _matrix(ids: bytes, data: bytes) -> tuple[np.ndarray, np.ndarray]:
     ids = np.frombuffer(ids, dtype="<i8")
-    return ids, np.frombuffer(data, dtype="<i8").reshape(len(ids), -1)
+    return ids, np.frombuffer(data, dtype="<f8").reshape(len(ids), -1)
+
+
+def _lengths(vectors: np.ndarray) -> np.ndarray:
+    """Norms, by the largest component so that no square overflows."""
+    largest = np.maximum(np.abs(vectors).max(axis=1, initial=0.0), 1e-300)
+    return largest * np.sqrt(((vectors / largest[:, None]) ** 2).sum(1))
 
 
 def _products(candidates: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Exact integer products; floats are exact while no sum can pass 2^53."""
+    """Exact integer products: in floats while no sum can pass 2^53, else in whole numbers of any size.
+
+    One that no 64-bit integer can hold is given as the largest or smallest that one can.
+    """
     if not candidates.size:
         return np.zeros(len(candidates), dtype=np.int64)
     largest = float(np.abs(candidates).max()) * float(np.abs(query).max()) * len(query)
     if largest < 2.0**53:
-        return (candidates.astype(np.float64) @ query.astype(np.float64)).astype(np.int64)
-    return candidates @ query
+        return (candidates @ query).astype(np.int64)
+    whole = [int(x) for x in query.tolist()]
+    sums = (sum(int(x) * y for x, y in zip(row, whole)) for row in candidates.tolist())
+    return np.array([min(max(x, -(1 << 63)), (1 << 63) - 1) for x in sums], dtype=np.int64)
 
 
 def search_bucket(query_ids, queries, thresholds, ids, bucket, k) -> list[tuple[int, int, int]]:
     """(query, candidate, score) of each query's k best in the bucket that can reach its threshold."""
-    norms = np.sqrt((bucket.astype(np.float64) ** 2).sum(1))
-    lengths = np.sqrt((queries.astype(np.float64) ** 2).sum(1))
+    norms, lengths = _lengths(bucket), _lengths(queries)
     longest = norms.max(initial=0.0)
     units = bucket / np.maximum(norms, 1e-300)[:, None]
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -125,7 +138,7 @@ def search_bucket(query_ids, queries, thresholds, ids, bucket, k) -> list[tuple[
         chosen &= ids != query_id
         at = np.nonzero(chosen)[0]
         scores = _products(bucket[at], query)
-        best = np.lexsort((ids[at], -scores))[:k]
+        best = np.lexsort((ids[at], ~scores))[:k]
         out += [(int(query_id), int(ids[at[b]]), int(scores[b])) for b in best]
     return out
 
@@ -157,7 +170,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vect
     ``is_query`` tells queries by the column vec_id. A candidate has another id than the query and as many
     components; fewer than k are all returned. Equal vectors are candidates each for themselves; rows that
     repeat an id are candidates too, and as queries they are one (their best rows). Null and non-finite
-    vectors take no part, other columns are ignored, an empty table gives an empty one.
+    vectors take no part, other columns are ignored, an empty table gives an empty one. Scores are exact; one beyond
+    64 bits is given as the nearest that fits. Every pass over the buckets takes up to about PASS_BYTES of queries.
     """
     spark = vectors.sparkSession
     rows = cut_lineage(integer_vectors(vectors, id_col, vector_col)).withColumn("need", F.lit(0.0))
@@ -165,25 +179,38 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vect
     buckets = max(1, -(-rows.count() // BUCKET))
     ordered = rows.repartitionByRange(buckets, "dims", F.desc("norm"), "vec_id").sortWithinPartitions("dims", F.desc("norm"), "vec_id")
     bucketed = cut_lineage(_blocks(ordered, BUCKET).drop("least"))
-    first = bucketed.groupBy("dims").agg(F.max("longest").alias("longest"))
-    # One bucket for each dimension: the first of those with the longest vectors.
-    seed = bucketed.join(first, ["dims", "longest"]).groupBy("dims").agg(F.min_by(F.struct("ids", "data"), "block").alias("b")).select("dims", "b.*")
-    blocks = -(-queries.count() // BLOCK) or 1
-    dealt = queries.repartitionByRange(blocks, "dims", "vec_id").sortWithinPartitions("dims", "vec_id")
-    asked = cut_lineage(_blocks(dealt, BLOCK).select("block", "dims", F.col("ids").alias("q_ids"), F.col("data").alias("q_data")))
-    seeded = _search(asked.withColumn("q_floor", F.lit(None).cast("binary")).join(seed, "dims"), k)
-    floors = cut_lineage(seeded.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("floor")))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), buckets)
+    floors = cut_lineage(_first_scores(queries, bucketed, tasks, k))
 
     known = queries.join(floors, queries.vec_id == floors.query_id, "left").select(
         "vec_id", "dims", "norm", "data", F.coalesce(F.col("floor").cast("double"), F.lit(float("-inf"))).alias("floor"),
     ).withColumn("need", F.when(F.col("floor") > 0, F.col("floor") / F.col("norm")).otherwise(0.0))
-    dealt = known.repartitionByRange(blocks, "dims", "need", "vec_id").sortWithinPartitions("dims", "need", "vec_id")
-    asked = cut_lineage(_with_floors(dealt))
-    # Every block of queries meets every bucket it can profit from, over many tasks.
-    numbered = asked.select("dims", "least", "q_ids", "q_data", "q_floor")
-    pairs = numbered.hint("shuffle_hash").join(bucketed.where("ids is not null"), (numbered.dims == bucketed.dims) & (bucketed.longest >= numbered.least * (1 - 1e-9)))
-    found = _search(pairs.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), buckets * blocks // 8)), k)
-    return _best(found, k).select("query_id", "rank", "vec_id", "score")
+    n, n_bytes = queries.agg(F.count("*"), F.sum(F.length("data"))).first()
+    dealt = known.repartitionByRange(-(-n // BLOCK) or 1, "dims", "need", "vec_id").sortWithinPartitions("dims", "need", "vec_id")
+    passes = max(1, -(-(n_bytes or 0) // PASS_BYTES))
+    asked = _with_floors(dealt).withColumn("pass", F.floor(F.spark_partition_id() * passes / (-(-n // BLOCK) or 1)).cast("int"))
+    asked = cut_lineage(asked)
+    # Buckets stay where they are; a bounded part of the queries at a time goes to all of them.
+    spread = cut_lineage(bucketed.where("ids is not null").repartition(tasks, "block"))
+    folder = scratch(spark, "best")
+    for number in range(passes):
+        some = F.broadcast(asked.where(F.col("pass") == number).withColumnRenamed("dims", "q_dims"))
+        pairs = spread.join(some, (F.col("q_dims") == F.col("dims")) & (F.col("longest") >= F.col("least") * (1 - 1e-9)))
+        _best(_search(pairs, k), k).select("query_id", "rank", "vec_id", "score").write.parquet(f"{folder}/pass={number}")
+    return spark.read.schema("query_id long, rank int, vec_id long, score long").parquet(f"{folder}/pass=*")
+
+
+def _first_scores(queries: DataFrame, bucketed: DataFrame, tasks: int, k: int) -> DataFrame:
+    """(query_id, floor): the k-th best score of each query in the bucket of its dimension with the longest vectors."""
+    first = bucketed.groupBy("dims").agg(F.max("longest").alias("longest"))
+    top = bucketed.join(first, ["dims", "longest"]).groupBy("dims").agg(F.min_by(F.struct("ids", "data"), "block").alias("b"))
+    seed = cut_lineage(top.select("dims", "b.*"))
+    if (seed.agg(F.sum(F.length("data"))).first()[0] or 0) <= PASS_BYTES:
+        seed = F.broadcast(seed)
+    dealt = queries.repartition(tasks, "vec_id").sortWithinPartitions("dims", "vec_id")
+    asked = _blocks(dealt, BLOCK).select("dims", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
+    seeded = _search(asked.withColumn("q_floor", F.lit(None).cast("binary")).join(seed, "dims"), k)
+    return seeded.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("floor"))
 
 
 def _with_floors(rows: DataFrame) -> DataFrame:

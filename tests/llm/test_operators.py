@@ -400,6 +400,24 @@ def test_top_k(spark):
     assert topk.top_k(table.limit(0), lambda vec_id: vec_id % 50 == 0).collect() == []
 
 
+@pytest.mark.parametrize("pass_bytes", [200, topk.PASS_BYTES])
+def test_top_k_of_large_components_and_in_passes(spark, monkeypatch, pass_bytes):
+    monkeypatch.setattr(topk, "PASS_BYTES", pass_bytes)
+    monkeypatch.setattr(topk, "BUCKET", 7)
+    monkeypatch.setattr(topk, "BLOCK", 2)
+    rng = np.random.default_rng(5)
+    vectors = [[1.0, 2.0], [1e7, 0.0], [3.0, 1.0], [0.0, 9e6], [1e12, -3.0], [-2e15, 7.5], [1e200, 1e-3], [5e300, -5e300]]
+    vectors += [(rng.normal(0, 10.0 ** rng.integers(0, 13), 2)).tolist() for _ in range(60)]
+    table = spark.createDataFrame([(k, v) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    whole = [[int(np.floor(256 * x)) for x in v] for v in vectors]
+    expected = set()
+    for i in range(0, len(whole), 4):
+        clip = lambda x: min(max(x, -(1 << 63)), (1 << 63) - 1)
+        scores = sorted((-clip(sum(a * b for a, b in zip(whole[i], v))), j) for j, v in enumerate(whole) if j != i)
+        expected |= {(i, n, j, -s) for n, (s, j) in enumerate(scores[:5], 1)}
+    assert {tuple(r) for r in topk.top_k(table, lambda vec_id: vec_id % 4 == 0).collect()} == expected
+
+
 @pytest.mark.parametrize("threshold", [-1.0, 2000.0, 20000.0, 60000.0])
 def test_pruned_bucket_keeps_what_reaches_the_threshold(threshold):
     rng = np.random.default_rng(8)
