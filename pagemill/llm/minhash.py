@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pagemill.llm.common import as_batch, slices, utf8
 from pagemill.llm.components import components
 from pagemill.session import cut_lineage
+from pagemill.sources.buckets import only_possible
 
 SHINGLE_WORDS = 4
 #: Percent of the union that the intersection of linked sets has at least.
@@ -40,6 +41,8 @@ LEAST_AGREEING = 225
 #: Expected sets, and elements in them, of one block of the second step.
 BLOCK = 512
 BLOCK_ELEMENTS = 1 << 20
+#: Bits that tell which texts may belong to a candidate, 16 MiB.
+ID_BITS = 1 << 27
 #: Hashes computed at a time.
 _AT_ONCE = 1 << 13
 _UNFILLED = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -275,15 +278,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _links(texts: DataFrame, nodes: DataFrame, members: DataFrame, words: int) -> DataFrame:
     """Verified links (a, b) that connect all similar nodes; ``members`` has (key, node, first, rows)."""
-    wanted = nodes.select("node", "d1", "d2", "least").join(members.select("node").distinct(), "node", "left_semi")
-    wanted = cut_lineage(wanted)
+    wanted = cut_lineage(nodes.join(members.select("node").distinct(), "node", "left_semi"))
     # Null-safe, as the smallest id of a set is null where all its rows' ids are.
-    chosen = texts.join(wanted.select("least"), texts.doc_id.eqNullSafe(F.col("least")), "left_semi")
+    possible = only_possible(texts, "doc_id", wanted, "least", ID_BITS)  # few others are shuffled
+    chosen = possible.join(wanted.select("least"), F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
     sets = _full_sets(chosen, words).join(wanted.select("node", "d1", "d2"), ["d1", "d2"])
     sets = cut_lineage(sets.groupBy("node").agg(F.any_value("elements").alias("elements")))
 
     stars = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    first = cut_lineage(_verified(_alike(stars, nodes), sets))
+    first = cut_lineage(_verified(_alike(stars, wanted), sets))
     placed = members.join(components(first), "node", "left").select("key", "node", "rows", F.coalesce("root", "node").alias("root"))
     # The pair of a key with two members has been compared.
     torn = placed.where("rows > 2").groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
@@ -291,7 +294,7 @@ def _links(texts: DataFrame, nodes: DataFrame, members: DataFrame, words: int) -
     if rest.isEmpty():
         return first
     # Roots alike in some key are a cluster, and each node goes to its cluster once with its set.
-    sketched = nodes.select("node", "n", "sketch")
+    sketched = wanted.select("node", "n", "sketch")
     clusters = components(cut_lineage(_across(rest.join(sketched, "node"))))
     clusters = clusters.select(F.col("node").alias("root"), F.col("root").alias("key"))
     gathered = rest.select("node", "root").distinct().join(clusters, "root")
