@@ -278,12 +278,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _links(texts: DataFrame, nodes: DataFrame, members: DataFrame, words: int) -> DataFrame:
     """Verified links (a, b) that connect all similar nodes; ``members`` has (key, node, first, rows)."""
-    wanted = cut_lineage(nodes.join(members.select("node").distinct(), "node", "left_semi"))
-    # Null-safe, as the smallest id of a set is null where all its rows' ids are.
-    possible = only_possible(texts, "doc_id", wanted, "least", ID_BITS)  # few others are shuffled
-    chosen = possible.join(wanted.select("least"), F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
-    sets = _full_sets(chosen, words).join(wanted.select("node", "d1", "d2"), ["d1", "d2"])
-    sets = cut_lineage(sets.groupBy("node").agg(F.any_value("elements").alias("elements")))
+    met = members.select("node").distinct()
+    wanted = cut_lineage(only_possible(nodes, "node", met, "node", ID_BITS).join(met, "node"))
+    possible = only_possible(texts, "doc_id", wanted, "least", ID_BITS)  # few others move
+    # Inner joins: semi joins would be moved below the filters. Null-safe, as a set may have null ids only.
+    ids = wanted.select("least").distinct()
+    chosen = possible.join(ids, F.col("doc_id").eqNullSafe(F.col("least"))).drop("least")
+    sets = _full_sets(chosen, words).groupBy("d1", "d2").agg(F.any_value("elements").alias("elements"))
+    sets = cut_lineage(sets.join(wanted.select("node", "d1", "d2"), ["d1", "d2"]).select("node", "elements"))
 
     stars = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     first = cut_lineage(_verified(_alike(stars, wanted), sets))
