@@ -72,39 +72,58 @@ def array_span(raw: Column) -> Column:
     return F.when(start > 0, fix_trailing_commas(strip_think_tags(span))).otherwise("")
 
 
+def list_at_end(text: Column) -> Column:
+    """The text from the ``[`` that its last ``]`` closes, up to that ``]``; empty if there is none.
+
+    Brackets are counted from the right. Quotes seen on the way tell which of them stand inside strings; an
+    escaped quote is none. One pass: each bracket and quote is looked at once.
+    """
+    span = F.regexp_extract(text, r"(?s)^.*\]", 0)
+    marks = F.reverse(F.regexp_extract_all(span, F.lit(r'(\\["\\]|["\[\]])'), F.lit(1)))
+    start = F.struct(
+        F.lit(0).alias("depth"), F.lit(False).alias("quoted"), F.lit(0).alias("opened"), F.lit(0).alias("found")
+    )
+
+    def step(state: Column, mark: Column) -> Column:
+        bare = ~state.quoted
+        depth = state.depth + F.when(bare & (mark == "]"), 1).when(bare & (mark == "["), -1).otherwise(0)
+        opened = state.opened + (mark == "[").cast("int")
+        closes = (state.found == 0) & (mark == "[") & bare & (depth == 0)
+        return F.struct(
+            depth.alias("depth"),
+            (state.quoted != (mark == '"')).alias("quoted"),
+            opened.alias("opened"),
+            F.when(closes, opened).otherwise(state.found).alias("found"),
+        )
+
+    return bind(
+        F.struct(span.alias("span"), F.aggregate(marks, start, step, lambda state: state.found).alias("found")),
+        lambda s: F.when(
+            s["found"] > 0, F.concat(F.lit("["), F.call_function("substring_index", s["span"], F.lit("["), -s["found"]))
+        ).otherwise(""),
+    )
+
+
 def scan_for_array(
     raw: Column, required: tuple[str, ...] = ("instruction",), fix_commas_first: bool = False
 ) -> Column:
     """The first ``[`` from which the text up to the last ``]`` parses as a list.
 
-    Candidates must name every required key. They are tried one at a time, left to right.
+    It must name every required key. Of all ``[`` only the one that the last ``]`` closes can begin
+    such a list, so one text is parsed, however many brackets there are.
     """
     text = strip_line_separators(strip_think_tags(raw))
     if fix_commas_first:
         text = fix_trailing_commas(text)
-    pieces = F.split(F.regexp_extract(text, r"(?s)^.*\]", 0), r"\[")
 
-    def attempt(pieces: Column, j: Column) -> Column:
-        candidate = F.concat(
-            F.lit("["), F.array_join(F.slice(pieces, j + 1, F.size(pieces)), "[")
-        )
-        named = F.lit(True)
+    def attempt(candidate: Column) -> Column:
+        named = candidate != ""
         for key in required:
             named = named & candidate.contains(f'"{key}"')
         ready = candidate if fix_commas_first else fix_trailing_commas(candidate)
         return F.when(named, parse_array(ready))
 
-    return bind(
-        pieces,
-        lambda ps: F.when(
-            F.size(ps) > 1,
-            F.aggregate(
-                F.sequence(F.lit(1), F.greatest(F.size(ps) - 1, F.lit(1))),
-                F.lit(None).cast("variant"),
-                lambda found, j: F.when(found.isNotNull(), found).otherwise(attempt(ps, j)),
-            ),
-        ),
-    )
+    return bind(list_at_end(text), attempt)
 
 
 def elements(items: Column) -> Column:

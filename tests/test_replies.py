@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from pagemill.functions.replies import scan_for_array
 from pagemill.operators import replies as rp
 
 SCHEMA = "rel_path string, chunk_index int, attempt int, raw string, http_error string"
@@ -176,3 +177,38 @@ def test_half_a_surrogate_pair_prints_as_a_question_mark(spark):
     raw = r'[{"instruction":"Why \ud800?","input":["a"],"output":"x"}]'
     found = rp.valid_records(parsed(spark, raw)).collect()
     assert [(r["instruction"], r["input"]) for r in found] == [("Why ??", "a")]
+
+
+def plain_scan(raw):
+    """Every ``[`` from the left against Python's own JSON, up to the last ``]``."""
+    last = raw.rfind("]")
+    for at in (m.start() for m in re.finditer(r"\[", raw[: last + 1])):
+        try:
+            found = json.loads(raw[at : last + 1])
+        except ValueError:
+            continue
+        return found or None
+    return None
+
+
+def scanned(spark, raws):
+    rows = spark.createDataFrame(list(enumerate(raws)), "k int, raw string")
+    found = rows.select("k", F.to_json(scan_for_array(F.col("raw"), required=(), fix_commas_first=True)).alias("j"))
+    return [r["j"] and json.loads(r["j"]) for r in sorted(found.collect(), key=lambda r: r["k"])]
+
+
+def test_scan_equals_trying_every_bracket(spark):
+    rng = random.Random(11)
+    pieces = ["[", "]", '"', "\\", '\\"', "1", ",", '"a"', "[1]", '["]"]', '"["', " ", '"\\\\"', "{", "}", '{"a":[2]}']
+    raws = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 12))) for _ in range(4000)]
+    raws += ['\\[1]', 'say "[" and ["x"]', '["\\\\"]', '["[", "]"]', "[[[[1]]]", '" [1, "]"]', "] x ["]
+    # A trailing comma is mended before the scan, so plain JSON sees the mended text.
+    raws = [r for r in raws if not re.search(r",\s*[\]}]", r)]
+    want = [plain_scan(r) for r in raws]
+    assert sum(w is not None for w in want) > 100
+    assert scanned(spark, raws) == want
+
+
+def test_scan_is_linear_in_brackets(spark):
+    n = 100_000
+    assert scanned(spark, ["[" * n + "[7]", "[" * n + "]" * n + "x", "[7]" * n]) == [[7], None, [7]]
