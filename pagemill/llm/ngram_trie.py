@@ -1,16 +1,19 @@
 """Scores of texts by a bigram model in Elias-Fano tries.
 
-The trie's first level holds words, each with its unigram probability; below a word stand the words that came
-before it, each with the smoothed probability of the pair. Words are 64-bit hashes; words before are numbers of
-frequent words. Both levels are monotone, Elias-Fano coded, searched by successors, and probabilities are quantised.
+The trie's first level holds words, each with its unigram probability; below a word stand its neighbours, each with
+the smoothed probability of the pair. Words are 64-bit hashes. Both levels are monotone, Elias-Fano coded, searched
+by successors, and probabilities are quantised.
 
 A word is frequent from a share of all tokens on, and so is a pair of frequent words, so both have a fixed bound:
-this head is a trie of its own that every task gets. Everything else is dealt to shards by hash. What a document
-needs of a shard travels there in bulk (word, word before, how often); the shard counts the pairs of training
-documents, builds its trie, maps it into memory, answers, and each document's sums come back.
-
-The model smooths pairs by the unigrams: p(c | b) = (n(b c) + M p(c)) / (n(b) + M) after a frequent b, else p(c),
-with p(c) = (n(c) + 1) / (N + V + 1); an unseen word has n(c) = 0. Before a text's first word stands the end.
+this head is a trie of its own that every task gets, a pre-aggregation that changes no score. Everything else is
+dealt to shards by hash. What a document needs of a shard travels there in bulk (word, neighbour, how often); the
+shard counts the pairs of training documents, builds its trie, maps it into memory, answers, and each document's sums
+come back.
+
+The model smooths pairs by the unigrams: p(c | b) = (n(b c) + M p(c)) / (n(b) + M), with p(c) = (n(c) + 1) / (N + V + 1);
+an unseen word has n(c) = 0. Before a text's first word stands the end. Every word is a context. After a rare b the
+probability is told in two places: (n(b c) + M p(c)) / M where the pair is counted (with c, or with b if c is frequent
+and its probability known everywhere), M / (n(b) + M) where b is counted, once for each time b stands in the text.
 """
 
 from __future__ import annotations
@@ -34,9 +37,12 @@ from pagemill.session import cut_lineage
 #: Share of the training tokens from which words, and pairs of them, are frequent; at most its inverse of each.
 LEAST_SHARE = 1 / 65536
 #: Tokens that the unigrams weigh in a pair's probability.
-PRIOR = 2000.0
-#: Log10 probabilities are kept in steps.
-STEP = 1 / 2048
+PRIOR = 200.0
+#: Log10 probabilities are kept in steps below a most value (the part of a pair after a rare word may be above 1).
+STEP, MOST = 1 / 2048, 8.0
+#: Neighbours in 32 bits: a rare word before by 31 bits of its hash, then the numbers of the frequent words before,
+#: then those of the frequent words that follow a rare one.
+RARE = 1 << 31
 #: Hash of the end of a text; no word has it but by chance.
 END = 0x656E64206F662061
 #: Documents and tokens that travel together, tokens for each shard, words counted at a time.
@@ -51,24 +57,24 @@ def is_held_out(doc_id: Column) -> Column:
 
 
 class Trie:
-    """Words and the frequent words before them, with quantised log10 probabilities."""
+    """Words and their neighbours, with quantised log10 probabilities."""
 
-    def __init__(self, words: EliasFano, starts: EliasFano, before: EliasFano, unigram: np.ndarray, bigram: np.ndarray, width: int):
-        self.words, self.starts, self.before, self.unigram, self.bigram, self.width = words, starts, before, unigram, bigram, width
+    def __init__(self, words: EliasFano, starts: EliasFano, beside: EliasFano, unigram: np.ndarray, bigram: np.ndarray, width: int):
+        self.words, self.starts, self.beside, self.unigram, self.bigram, self.width = words, starts, beside, unigram, bigram, width
 
     @classmethod
-    def build(cls, hashes: np.ndarray, unigram: np.ndarray, node: np.ndarray, before: np.ndarray, bigram: np.ndarray, width: int) -> Trie:
-        """``hashes`` ascending; (node, before) ascending; ``before`` below ``width``."""
-        quantise = lambda logs: np.minimum(np.rint(-logs / STEP), 65535).astype(np.uint16)
+    def build(cls, hashes: np.ndarray, unigram: np.ndarray, node: np.ndarray, beside: np.ndarray, bigram: np.ndarray, width: int) -> Trie:
+        """``hashes`` ascending; (node, beside) ascending; ``beside`` below ``width``."""
+        quantise = lambda logs: np.clip(np.rint((MOST - logs) / STEP), 0, 65535).astype(np.uint16)
         starts = np.searchsorted(node, np.arange(len(hashes) + 1))
-        # A node's words before are numbered on from the node, so the whole level is monotone.
-        level = node.astype(np.uint64) * np.uint64(width) + before.astype(np.uint64)
+        # A node's neighbours are numbered on from the node, so the whole level is monotone.
+        level = node.astype(np.uint64) * np.uint64(width) + beside.astype(np.uint64)
         return cls(EliasFano.of(hashes), EliasFano.of(starts), EliasFano.of(level), quantise(unigram), quantise(bigram), width)
 
     def mapped(self, folder: str) -> Trie:
         """The same trie with its levels mapped from a file in ``folder``."""
         path = os.path.join(folder, "trie")
-        levels = [(x, name) for x in (self.words, self.starts, self.before) for name in EliasFano.ARRAYS]
+        levels = [(x, name) for x in (self.words, self.starts, self.beside) for name in EliasFano.ARRAYS]
         arrays = [getattr(x, name) for x, name in levels] + [self.unigram, self.bigram]
         with open(path, "wb") as out:
             for a in arrays:
@@ -77,34 +83,30 @@ class Trie:
         for a in arrays:
             views.append(np.memmap(path, dtype=a.dtype, mode="r", offset=at, shape=a.shape) if a.size else a)
             at += a.nbytes + -a.nbytes % 8
-        coded = [EliasFano(x.n, x.low_bits, *views[3 * k : 3 * k + 3]) for k, x in enumerate((self.words, self.starts, self.before))]
+        coded = [EliasFano(x.n, x.low_bits, *views[3 * k : 3 * k + 3]) for k, x in enumerate((self.words, self.starts, self.beside))]
         return Trie(*coded, views[-2], views[-1], self.width)
 
-    def log_probabilities(self, hashes: np.ndarray, before: np.ndarray, unseen: float, backoff: np.ndarray) -> np.ndarray:
-        """Log10 of each word after the frequent word ``before`` (-1: another).
-
-        ``backoff[b]`` is the log10 weight of a word's unigram after b, where the pair is not in the trie.
-        """
+    def log_probabilities(self, hashes: np.ndarray, beside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log10 of each word, and of it beside a neighbour; nan for what the trie does not hold."""
         some = [slice(k, k + ASKED_AT_ONCE) for k in range(0, len(hashes), ASKED_AT_ONCE)]
-        return np.concatenate([np.zeros(0), *(self._log_probabilities(hashes[s], before[s], unseen, backoff) for s in some)])
+        told = [(np.zeros(0), np.zeros(0)), *(self._log_probabilities(hashes[s], beside[s]) for s in some)]
+        words, pairs = (np.concatenate(x) for x in zip(*told, strict=True))
+        return words, pairs
 
-    def _log_probabilities(self, hashes: np.ndarray, before: np.ndarray, unseen: float, backoff: np.ndarray) -> np.ndarray:
-        out = np.full(len(hashes), unseen)
+    def _log_probabilities(self, hashes: np.ndarray, beside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        words, pairs = np.full((2, len(hashes)), np.nan)
         node = self.words.successor(hashes)
         inside = np.nonzero(node < self.words.n)[0]
         inside = inside[self.words.get(node[inside]) == hashes[inside].astype(np.uint64)]
-        out[inside] = -STEP * self.unigram[node[inside]]
-        after = before >= 0
-        out[after] += backoff[before[after]]
-        pairs = inside[after[inside]]
-        if len(pairs) and self.before.n:
-            wanted = node[pairs].astype(np.uint64) * np.uint64(self.width) + before[pairs].astype(np.uint64)
-            place = self.before.successor(wanted)
-            end = self.starts.get(node[pairs] + 1).astype(np.int64)
+        words[inside] = MOST - STEP * self.unigram[node[inside]]
+        if len(inside) and self.beside.n:
+            wanted = node[inside].astype(np.uint64) * np.uint64(self.width) + beside[inside].astype(np.uint64)
+            place = self.beside.successor(wanted)
+            end = self.starts.get(node[inside] + 1).astype(np.int64)
             fits = np.nonzero(place < end)[0]  # the successor stands below the same word
-            fits = fits[self.before.get(place[fits]) == wanted[fits]]
-            out[pairs[fits]] = -STEP * self.bigram[place[fits]]
-        return out
+            fits = fits[self.beside.get(place[fits]) == wanted[fits]]
+            pairs[inside[fits]] = MOST - STEP * self.bigram[place[fits]]
+        return words, pairs
 
 
 class Head(NamedTuple):
@@ -122,11 +124,15 @@ class Head(NamedTuple):
         """log10 of (n + 1) / (N + V + 1)."""
         return np.log10(counts + 1.0) - np.log10(self.tokens + self.vocabulary + 1.0)
 
-    def backoff(self) -> np.ndarray:
-        return np.log10(PRIOR / (self.counts + PRIOR))
+    @staticmethod
+    def weight(counts: np.ndarray) -> np.ndarray:
+        """log10 of the unigrams' weight after words so often seen."""
+        return np.log10(PRIOR / (counts + PRIOR))
 
-    def pair_log(self, pair_counts: np.ndarray, before: np.ndarray, unigram: np.ndarray) -> np.ndarray:
-        return np.log10((pair_counts + PRIOR * 10.0**unigram) / (self.counts[before] + PRIOR))
+    @staticmethod
+    def pair_log(pair_counts: np.ndarray, unigram: np.ndarray) -> np.ndarray:
+        """log10 of a pair's probability, but for the weight of the word before."""
+        return np.log10(pair_counts / PRIOR + 10.0**unigram)
 
     def number(self, hashes: np.ndarray) -> np.ndarray:
         """The frequent word's number, -1 for others."""
@@ -141,7 +147,8 @@ class Head(NamedTuple):
         order = np.lexsort((before, node))
         before, node, n = before[order], node[order], self.pair_counts[order]
         unigram = self.base(self.counts)
-        return Trie.build(self.hashes, unigram, node, before, self.pair_log(n, before, unigram[node]), width)
+        logs = self.pair_log(n, unigram[node]) + self.weight(self.counts)[before]
+        return Trie.build(self.hashes, unigram, node, before, logs, width)
 
 
 class Tokens:
@@ -255,8 +262,7 @@ def _travelling(docs: DataFrame, sent, shards: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Head = sent.value
-        trie, backoff, unseen = known.trie(), known.backoff(), float(known.base(np.zeros(1))[0])
-        width = max(1, len(known.hashes))
+        trie, width = known.trie(), max(1, len(known.hashes))
         held, ids, outs = Tokens(), [], []
         number = TaskContext.get().partitionId() << 32
 
@@ -268,34 +274,41 @@ def _travelling(docs: DataFrame, sent, shards: int) -> DataFrame:
             pair = np.where((c >= 0) & (b >= 0), b * width + c, -1)
             at = np.minimum(np.searchsorted(known.pairs, pair), max(0, len(known.pairs) - 1))
             heavy = (pair >= 0) & (known.pairs[at] == pair) if len(known.pairs) else np.zeros(len(pair), bool)
-            here = (c >= 0) & ((b < 0) | heavy)
             own = np.zeros(len(ids), dtype=_OWN)
             own["doc_id"], own["has_id"], own["held"] = [i or 0 for i in ids], [i is not None for i in ids], outs
             own["tokens"] = held.lengths
-            asked, back = np.unique((b[here] + 1) * width + c[here], return_inverse=True)
-            values = trie.log_probabilities(known.hashes[asked % width], asked // width - 1, unseen, backoff) if len(asked) else np.zeros(0)
-            for name, sums in (("known", None), ("base", known.base(known.counts)[c[here]]), ("score", values[back])):
+            asked, back = np.unique(pair[heavy], return_inverse=True)
+            _, values = trie.log_probabilities(known.hashes[asked % width], asked // width)
+            # A frequent word after a rare one is counted here, its score comes from the rare one's shard.
+            follows = (c >= 0) & (b < 0)
+            here = heavy | follows
+            for name, sums in (("known", None), ("base", known.base(known.counts)[c[here]])):
                 own[name] = np.bincount(text[here], weights=sums, minlength=len(ids))
+            own["score"] = np.bincount(text[heavy], weights=values[back], minlength=len(ids))
             yield as_batch(_TRAVELS_SCHEMA, [-1], [number], [own.tobytes()])
-            # The rest, once for each document, by shard and word.
-            rest = ~here
-            keys, times = np.unique((names[rest] * (width + 1) + b[rest] + 1) * GROUP_DOCS + text[rest], return_counts=True)
+            # The rest, once for each document, by shard and word: a word and the one before, or a rare word and
+            # the frequent one that follows.
+            rest, size = ~heavy, len(hashes)
+            word, beside = np.where(follows, before, names)[rest], np.where(follows, size + names, before)[rest]
+            keys, times = np.unique((word * (2 * size) + beside) * GROUP_DOCS + text[rest], return_counts=True)
             keys, times = in_parts(keys, times)
-            name, after, doc = keys // (GROUP_DOCS * (width + 1)), keys // GROUP_DOCS % (width + 1), keys % GROUP_DOCS
+            name, beside, doc = keys // (GROUP_DOCS * 2 * size), keys // GROUP_DOCS % (2 * size), keys % GROUP_DOCS
             mixed = hashes[name]
             split = frequent[name] >= 0  # a frequent word's pairs go to many shards
-            mixed[split] ^= after[split].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            mixed[split] ^= frequent[beside[split]].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
             shard = ((mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(33)).astype(np.int64) % shards
             order = np.argsort(shard, kind="stable")
             ends = np.searchsorted(shard[order], np.arange(shards + 1))
             signed = np.where(np.array(outs, dtype=bool)[doc], -times, times)
+            told_as = np.concatenate([np.where(frequent >= 0, RARE + frequent, (hashes >> np.uint64(33)).astype(np.int64)), RARE + width + frequent])
+            beside = told_as[beside]
             for k in range(shards):
                 rows = order[ends[k] : ends[k + 1]]
                 if len(rows):
                     words = name[rows]
                     first = np.concatenate([[0], np.nonzero(words[1:] != words[:-1])[0] + 1])
                     runs = np.diff(np.concatenate([first, [len(rows)]]))
-                    load = _pack(hashes[words[first]], runs.astype("<i4"), after[rows].astype("<i4") if width > 65534 else after[rows].astype("<u2"), doc[rows].astype("<u2"), signed[rows].astype("<i2"))
+                    load = _pack(hashes[words[first]], runs.astype("<i4"), (beside[rows] & 65535).astype("<u2"), (beside[rows] >> 16).astype("<u2"), doc[rows].astype("<u2"), signed[rows].astype("<i2"))
                     yield as_batch(_TRAVELS_SCHEMA, [k], [number], [load])
             number += 1
 
@@ -317,31 +330,46 @@ def _travelling(docs: DataFrame, sent, shards: int) -> DataFrame:
 def answer_shard(known: Head, groups: list[int], loads: list[bytes], folder: str) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(group, documents, known, base, score) from all loads of a shard."""
     width = max(1, len(known.hashes))
-    parts = [_unpack(x, "<u8", "<i4", "<i4" if width > 65534 else "<u2", "<u2", "<i2") for x in loads]
-    hashes, runs, after, doc, signed = (np.concatenate(x) for x in zip(*parts, strict=True))
-    group = np.repeat(np.arange(len(parts)), [len(p[3]) for p in parts])
+    parts = [_unpack(x, "<u8", "<i4", "<u2", "<u2", "<u2", "<i2") for x in loads]
+    hashes, runs, low, high, doc, signed = (np.concatenate(x) for x in zip(*parts, strict=True))
+    group = np.repeat(np.arange(len(parts)), [len(p[4]) for p in parts])
+    beside = high.astype(np.int64) << 16 | low
+    del parts, low, high
     words, place = np.unique(hashes, return_inverse=True)
     node = np.repeat(place, runs)
     learned = np.maximum(signed, 0).astype(np.float64)
-    counts = np.bincount(node, weights=learned, minlength=len(words))
+    is_word = beside < RARE + width  # else the rare word before a frequent one
+    counts = np.bincount(node, weights=learned * is_word, minlength=len(words))
     frequent = known.number(words)
     counts[frequent >= 0] = known.counts[frequent[frequent >= 0]]
-    pairs, pair = np.unique(node * (width + 1) + after, return_inverse=True)
+    span = RARE + 2 * width
+    pairs, pair = np.unique(node * span + beside, return_inverse=True)
     pair_counts = np.bincount(pair, weights=learned, minlength=len(pairs))
-    pair_node, pair_before = pairs // (width + 1), pairs % (width + 1) - 1
+    pair_node, pair_beside = pairs // span, pairs % span
+    del learned, pairs, hashes, runs, beside
 
     seen = counts > 0
     unigram = known.base(counts)
-    kept = np.nonzero((pair_counts > 0) & (pair_before >= 0))[0]
-    logs = known.pair_log(pair_counts[kept], pair_before[kept], unigram[pair_node[kept]])
+    # The word whose probability is told, and the weight of the frequent word before it; a rare one's comes by itself.
+    told, weight = unigram[pair_node], np.zeros(len(pair_node))
+    follows, after = pair_beside >= RARE + width, (pair_beside >= RARE) & (pair_beside < RARE + width)
+    told[follows] = known.base(known.counts)[pair_beside[follows] - RARE - width]
+    weight[after] = known.weight(known.counts)[pair_beside[after] - RARE]
+    kept = np.nonzero(pair_counts > 0)[0]
+    logs = known.pair_log(pair_counts[kept], told[kept]) + weight[kept]
     renumber = np.cumsum(seen) - 1
-    trie = Trie.build(words[seen], unigram[seen], renumber[pair_node[kept]], pair_before[kept], logs, width).mapped(folder)
-    del learned, pairs, hashes, runs, after
-    values = trie.log_probabilities(words[pair_node], pair_before, float(known.base(np.zeros(1))[0]), known.backoff())
+    trie = Trie.build(words[seen], unigram[seen], renumber[pair_node[kept]], pair_beside[kept], logs, span).mapped(folder)
+    alone, values = trie.log_probabilities(words[pair_node], pair_beside)
+    alone = np.where(follows, told, np.where(np.isnan(alone), float(known.base(np.zeros(1))[0]), alone))
+    values = np.where(np.isnan(values), alone + weight, values)
+    own_weight = np.where(frequent < 0, known.weight(counts), 0.0)
 
     times = np.abs(signed.astype(np.float64))
     keys, to = np.unique(group * GROUP_DOCS + doc, return_inverse=True)
-    sums = [np.bincount(to, weights=times * x, minlength=len(keys)) for x in (seen[node], unigram[node], values[pair])]
+    sums = [
+        np.bincount(to, weights=times * x, minlength=len(keys))
+        for x in (is_word & seen[node], is_word * unigram[node], values[pair] + is_word * own_weight[node])
+    ]
     out = []
     for k, number in enumerate(groups):
         a, b = np.searchsorted(keys, (k * GROUP_DOCS, (k + 1) * GROUP_DOCS))

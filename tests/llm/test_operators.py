@@ -230,18 +230,19 @@ def test_scores(docs, empty):
     assert ngram_trie.score(empty).collect() == []
 
 
-def test_shards_and_head_agree(spark, monkeypatch):
-    """Few frequent words, small groups and many shards give the same sums as one model in one place."""
+@pytest.mark.parametrize("share", [1 / 60, 1 / 4, 2.0])
+def test_shards_and_head_agree(spark, monkeypatch, share):
+    """Few frequent words or none, and many shards, give the same sums and scores as one model in one place."""
     rng = random.Random(4)
     rows = [(k, " ".join(rng.choice("abcdefghijklmnop") * rng.randint(1, 3) for _ in range(rng.randint(0, 80)))) for k in range(200)]
     table = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
-    whole = by_id(ngram_trie.score(table).drop("score").collect())
-    monkeypatch.setattr(ngram_trie, "LEAST_SHARE", 1 / 60)
+    whole = by_id(ngram_trie.score(table).collect())
+    monkeypatch.setattr(ngram_trie, "LEAST_SHARE", share)
     monkeypatch.setattr(ngram_trie, "SHARD_TOKENS", 100)
     known = ngram_trie.head(table.where(~ngram_trie.is_held_out(table.doc_id)).select("text"))
-    assert 0 < len(known.hashes) <= 60 and len(known.pairs) <= 60
-    for got, want in zip(by_id(ngram_trie.score(table).drop("score").collect()), whole, strict=True):
-        assert got[:5] == want[:5] and got[5] == pytest.approx(want[5])
+    assert len(known.hashes) <= 1 / share and len(known.pairs) <= 1 / share
+    for got, want in zip(by_id(ngram_trie.score(table).collect()), whole, strict=True):
+        assert got[:5] == want[:5] and got[5] == pytest.approx(want[5]) and got[6] == pytest.approx(want[6], abs=6e-4 * want[2])
 
 
 def test_a_word_repeated_very_often(spark):
