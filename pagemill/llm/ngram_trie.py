@@ -37,7 +37,7 @@ from pagemill.session import cut_lineage
 #: Share of the training tokens from which words, and pairs of them, are frequent; at most its inverse of each.
 LEAST_SHARE = 1 / 65536
 #: Tokens that the unigrams weigh in a pair's probability.
-PRIOR = 200.0
+PRIOR = 400.0
 #: Log10 probabilities are kept in steps below a most value (the part of a pair after a rare word may be above 1).
 STEP, MOST = 1 / 2048, 8.0
 #: Neighbours in 32 bits: a rare word before by 31 bits of its hash, then the numbers of the frequent words before,
