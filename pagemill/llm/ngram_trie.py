@@ -46,7 +46,7 @@ RARE = 1 << 31
 #: Hash of the end of a text; no word has it but by chance.
 END = 0x656E64206F662061
 #: Documents and tokens that travel together, tokens for each shard, words counted at a time.
-GROUP_DOCS, GROUP_TOKENS, SHARD_TOKENS, WORDS_AT_ONCE = 60_000, 1_000_000, 2_000_000, 300_000
+GROUP_DOCS, GROUP_TOKENS, SHARD_TOKENS, WORDS_AT_ONCE = 60_000, 1_000_000, 1_000_000, 300_000
 #: Searched at a time, which bounds what a search holds beside the trie.
 ASKED_AT_ONCE = 1 << 18
 
@@ -332,9 +332,10 @@ def answer_shard(known: Head, groups: list[int], loads: list[bytes], folder: str
     width = max(1, len(known.hashes))
     parts = [_unpack(x, "<u8", "<i4", "<u2", "<u2", "<u2", "<i2") for x in loads]
     hashes, runs, low, high, doc, signed = (np.concatenate(x) for x in zip(*parts, strict=True))
-    group = np.repeat(np.arange(len(parts)), [len(p[4]) for p in parts])
+    keys, to = np.unique(np.repeat(np.arange(len(parts)) * GROUP_DOCS, [len(p[4]) for p in parts]) + doc, return_inverse=True)
     beside = high.astype(np.int64) << 16 | low
-    del parts, low, high
+    to = to.astype(np.int32)
+    del parts, low, high, doc
     words, place = np.unique(hashes, return_inverse=True)
     node = np.repeat(place, runs)
     learned = np.maximum(signed, 0).astype(np.float64)
@@ -345,8 +346,9 @@ def answer_shard(known: Head, groups: list[int], loads: list[bytes], folder: str
     span = RARE + 2 * width
     pairs, pair = np.unique(node * span + beside, return_inverse=True)
     pair_counts = np.bincount(pair, weights=learned, minlength=len(pairs))
+    pair = pair.astype(np.int32)  # a shard has far fewer
     pair_node, pair_beside = pairs // span, pairs % span
-    del learned, pairs, hashes, runs, beside
+    del learned, pairs, hashes, runs, beside, place
 
     seen = counts > 0
     unigram = known.base(counts)
@@ -365,7 +367,6 @@ def answer_shard(known: Head, groups: list[int], loads: list[bytes], folder: str
     own_weight = np.where(frequent < 0, known.weight(counts), 0.0)
 
     times = np.abs(signed.astype(np.float64))
-    keys, to = np.unique(group * GROUP_DOCS + doc, return_inverse=True)
     sums = [
         np.bincount(to, weights=times * x, minlength=len(keys))
         for x in (is_word & seen[node], is_word * unigram[node], values[pair] + is_word * own_weight[node])
@@ -389,7 +390,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     known = head(chosen.where("not held").select("text"))
     sent = spark.sparkContext.broadcast(known)
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")) // 2, -(-known.tokens // SHARD_TOKENS), 1)
-    travelling = cut_lineage(_travelling(chosen, sent, shards))
+    travelling = _travelling(chosen, sent, shards)
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -399,8 +400,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                     load = _pack(doc.astype("<u2"), n_known.astype("<i4"), base, value.astype("<f4"))
                     yield as_batch(_TRAVELS_SCHEMA, [shard], [number], [load])
 
-        for shard, rows in _runs(batches, "shard"):
-            yield from told(shard, [r[1] for r in rows], [r[2] for r in rows])
+        for shard, rows in _runs(batches, "shard", whole=lambda shard: shard >= 0):
+            if shard < 0:
+                yield as_batch(_TRAVELS_SCHEMA, *zip(*rows, strict=True))
+            else:
+                yield from told(shard, [r[1] for r in rows], [r[2] for r in rows])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _runs(batches, "grp"):
@@ -414,20 +418,21 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             yield as_batch(schema, ids, own["held"], own["tokens"], own["known"], np.full(len(own), sent.value.tokens), own["base"], own["score"])
 
     # An answer has a document at most once for each token, so a group's answers have its tokens as a bound.
-    mine = travelling.where("shard < 0")
-    theirs = travelling.where("shard >= 0").repartition(shards, "shard").sortWithinPartitions("shard", "grp").mapInArrow(answer, _TRAVELS)
-    return mine.unionByName(theirs).repartition("grp").sortWithinPartitions("grp", "shard").mapInArrow(
+    # The documents' own rows pass the shards' tasks unread, so that the texts are read and nothing is written twice.
+    dealt = F.when(F.col("shard") < 0, -1 - F.col("grp")).otherwise(F.col("shard"))
+    answers = travelling.repartition(shards, dealt).sortWithinPartitions("shard", "grp").mapInArrow(answer, _TRAVELS)
+    return answers.repartition("grp").sortWithinPartitions("grp", "shard").mapInArrow(
         merge, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
 
 
-def _runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[int, list[tuple[int, int, bytes]]]]:
-    """Consecutive rows (shard, grp, load) that agree in a column."""
+def _runs(batches: Iterator[pa.RecordBatch], column: str, whole=lambda value: True) -> Iterator[tuple[int, list[tuple[int, int, bytes]]]]:
+    """Consecutive rows (shard, grp, load) that agree in a column; one by one where they need not be ``whole``."""
     now, held = None, []
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in ("shard", "grp", "load")), strict=True):
             value = row[("shard", "grp").index(column)]
-            if held and value != now:
+            if held and (value != now or not whole(now)):
                 yield now, held
                 held = []
             now = value
