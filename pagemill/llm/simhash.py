@@ -158,6 +158,10 @@ def keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(out)
 
 
+#: Rows of one key up to which all its pairs are compared.
+FEW = 32
+
+
 def _least_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     same = (a[:, :, None] == b[:, None, :]) & (a >= 0)[:, :, None]
     return np.where(same, a[:, :, None], 1 << 20).min(axis=(1, 2))
@@ -204,14 +208,20 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def links_among(key: np.ndarray, fps: np.ndarray, most_bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Links between distinct fingerprints that share a key and differ in few enough bits.
+    """Links between distinct fingerprints that share a key and differ in few enough bits: all that connects them.
 
-    Rows are compared with the row d places on in key order, for growing d, so memory stays in
-    proportion to the rows however many share a key.
+    Rows of keys with few rows are compared with the row d places on in key order, for growing d, and a pair is
+    told at one of its keys. A key with many rows is searched from one row outwards instead.
     """
     order = np.lexsort((fps, key))
     key, fps = key[order], fps[order]
-    at, d, found = np.arange(len(key)), 1, []
+    first = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
+    starts = np.nonzero(first)[0]
+    sizes = np.diff(np.append(starts, len(key)))
+    found = [_forest(*_reached(fps[a : a + n], most_bits)) for a, n in zip(starts, sizes, strict=True) if n > FEW]
+    few = np.repeat(sizes <= FEW, sizes)
+    key, fps = key[few], fps[few]
+    at, d = np.arange(len(key)), 1
     while len(at):
         at = at[at + d < len(key)]
         at = at[key[at] == key[at + d]]
@@ -227,6 +237,41 @@ def links_among(key: np.ndarray, fps: np.ndarray, most_bits: int = MAX_BITS) ->
     return _forest(np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found]))
 
 
+def _reached(fps: np.ndarray, most_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links among the fingerprints, one link for each row that is not a root.
+
+    From a root the rows in reach are found, from these the next, and so on. A row that is reached is not compared
+    again, so rows that lie close together cost their number, not its square. Rows not reached yet are kept in order
+    of their distance from the root: a row at distance x has its neighbours between x - most_bits and x + most_bits.
+    """
+    left, right = [], []
+    rest = fps
+    while len(rest):
+        root, rest = rest[0], rest[1:]
+        far = np.bitwise_count(rest ^ root).astype(np.int64)
+        order = np.argsort(far, kind="stable")
+        rest, far = rest[order], far[order]
+        front = np.array([root], dtype=np.uint64)
+        while len(front) and len(rest):
+            fresh = []
+            while len(front) and len(rest):
+                x = int(np.bitwise_count(front[0] ^ root))
+                a, b = np.searchsorted(far, [x - most_bits, x + most_bits + 1])
+                near = np.zeros(len(rest), dtype=bool)
+                near[a:b] = np.bitwise_count(rest[a:b] ^ front[0]) <= most_bits
+                if near.any():
+                    reached = rest[near]
+                    fresh.append(reached)
+                    left.append(np.full(len(reached), front[0]))
+                    right.append(reached)
+                    rest, far = rest[~near], far[~near]
+                front = front[1:]
+            front = np.concatenate(fresh) if fresh else front[:0]
+    if not left:
+        return fps[:0], fps[:0]
+    return np.concatenate(left), np.concatenate(right)
+
+
 def fingerprint_links(distinct: DataFrame) -> DataFrame:
     """(fp long), each once, to (a, b): enough links to connect all within MAX_BITS of each other."""
     keyed_schema = pa.schema([("key", pa.int64()), ("fp", pa.int64())])
@@ -241,6 +286,7 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
                 yield as_batch(keyed_schema, found, part[rows])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # 16 bytes a row; links of a key with many rows are at most its rows.
         held = [(b.column("key").to_numpy(), b.column("fp").to_numpy()) for b in batches if b.num_rows]
         if held:
             key, fps = (np.concatenate(x) for x in zip(*held, strict=True))

@@ -127,7 +127,9 @@ def test_simhash(docs, empty):
     assert simhash.near_duplicates(empty).collect() == []
 
 
-def test_golay_keys_lose_no_link():
+@pytest.mark.parametrize("few", [32, 0])
+def test_golay_keys_lose_no_link(monkeypatch, few):
+    monkeypatch.setattr(simhash, "FEW", few)
     rng = np.random.default_rng(3)
     seeds = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
     near = [int(s) ^ sum(1 << int(b) for b in rng.choice(64, k, replace=False)) for s in seeds for k in (1, 2, 3, 4, 4, 5, 6)]
@@ -141,6 +143,34 @@ def test_golay_keys_lose_no_link():
     assert simhash._decoder()[1].astype(bool).sum() == 2047  # each other syndrome has one pattern of up to three bits
 
 
+def test_clusters_lose_no_link():
+    """Many fingerprints around one, a chain away from it and a second cluster beside it: the components of all pairs."""
+    rng = np.random.default_rng(5)
+    flipped = lambda fp, most: fp ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(1, most + 1), replace=False))
+    one = int(rng.integers(0, 1 << 63))
+    other = one ^ 0xFFF << 46  # two segments agree, so the clusters share keys
+    chain = [one]
+    for _ in range(60):
+        chain.append(flipped(chain[-1], 4))
+    cluster = [flipped(x, most) for x, most in ((one, 2), (other, 2), (one, 6)) for _ in range(400)]
+    fps = np.unique(np.array(chain + cluster, dtype=np.uint64))
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= simhash.MAX_BITS
+    a, b = np.nonzero(np.triu(near, 1))
+    rows, keys = simhash.keys(fps)
+    assert np.unique(keys, return_counts=True)[1].max() > 4 * simhash.FEW
+    x, y = simhash.links_among(keys, fps[rows])
+    for got, want in zip(simhash._forest(x, y), simhash._forest(fps[a], fps[b]), strict=True):
+        assert got.tolist() == want.tolist()
+
+
+def test_a_large_cluster_is_not_compared_in_pairs():
+    rng = np.random.default_rng(6)
+    one = int(rng.integers(0, 1 << 63))
+    fps = np.unique(np.array([one ^ sum(1 << int(b) for b in rng.choice(64, 3, replace=False)) for _ in range(6000)], dtype=np.uint64))
+    a, b = simhash._reached(fps, 6)
+    assert len(a) == len(fps) - 1 and len(set(b.tolist())) == len(b)
+
+
 def test_components(spark):
     links = spark.createDataFrame([(5, 4), (4, 3), (3, 2), (2, 1), (9, 8), (7, 7), (8, 9)], "a long, b long")
     assert dict(map(tuple, components.components(links).collect())) == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 8: 8, 9: 8}
