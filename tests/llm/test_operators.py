@@ -94,6 +94,95 @@ def test_html():
     assert html_text.main_text("<nav>only") == ""
 
 
+PROSE = [f"Paragraph {k} tells at some length what was found, why it matters and what is going to be done about it now." for k in range(6)]
+PARTS = "".join(f"<p>{p}</p>" for p in PROSE)
+MENU = "".join(f'<li><a href="/{w}">{w}</a></li>' for w in ("Home", "World", "Sport", "Money", "Weather"))
+
+
+def test_html_ratios_decide():
+    whole = " ".join(PROSE)
+    # A teaser that is an article does not stand for a page whose prose is beside it.
+    assert html_text.main_text(f'<body><div>{PARTS}</div><article class="card"><a href="/x">Read on</a></article></body>') == whole
+    # Parts of an article whose names may mean something else stay if they read like it, and go if they are links.
+    article = "<article>{}<section id='related-work'><h2>Related work</h2>{}</section><div class='search results'>{}</div></article>"
+    assert html_text.main_text(article.format(PARTS, PARTS, PARTS)) == f"{whole} Related work {whole} {whole}"
+    assert html_text.main_text(article.format(PARTS, f"<ul>{MENU}</ul>", f"<ul>{MENU}</ul>")) == whole
+    # No name tells the menu.
+    assert html_text.main_text(f"<body><div><ul>{MENU}</ul></div><div>{PARTS}</div></body>") == whole
+    # A line of links between paragraphs; a short line that is none.
+    links = "<p>" + " ".join(f'<a href="/{k}">more {k}</a>' for k in range(8)) + "</p>"
+    assert html_text.main_text(f"<article><h1>Head</h1>{PARTS}{links}{PARTS}<p>Yes.</p></article>") == f"Head {whole} {whole} Yes."
+    # Nothing but links, and links that are never closed.
+    assert html_text.main_text(f"<body><div><ul>{MENU}</ul></div></body>") == "Home World Sport Money Weather"
+    assert html_text.main_text(f"<article><p><a href=x>{PROSE[0]}</p><p>{PROSE[1]}</p></article>") == " ".join(PROSE[:2])
+
+
+def _slow_threshold(ratios):
+    low, high = min(ratios), max(ratios)
+    if high <= 2 * low:
+        return 0.0
+    while True:
+        middle = (low + high) / 2
+        below, above = [r for r in ratios if r < middle], [r for r in ratios if r >= middle]
+        if not below or not above:
+            return middle
+        means = sum(below) / len(below), sum(above) / len(above)
+        if max(abs(means[0] - low), abs(means[1] - high)) < 1e-9:
+            return middle
+        low, high = means
+
+
+def _slow_lines(lines, mains, doubtful):
+    """The rules of the module, one line after the other."""
+    def measured(lines):
+        raw = [len(line.text) / max(1, line.tags) for line in lines]
+        out = []
+        for k in range(len(raw)):
+            near = [(math.exp(-(j - k) ** 2 / 2), raw[j]) for j in range(max(0, k - 2), min(len(raw), k + 3))]
+            out.append(sum(w * r for w, r in near) / sum(w for w, _ in near))
+        least = _slow_threshold(out)
+        return [(line, r >= least, r >= least and 2 * line.linked < len(line.text)) for line, r in zip(lines, out, strict=True)]
+
+    rows = measured(lines)
+    article = sum(len(x.text) for x in lines if x.region in mains - doubtful)
+    if article and article >= sum(len(x.text) for x, _, reads in rows if reads and x.region not in mains):
+        rows = measured([x for x in lines if x.region in mains])
+    told = []
+    for line, reaches, _ in rows:
+        region = [(x, a, b) for x, a, b in rows if x.region == line.region]
+        size, linked = sum(len(x.text) for x, *_ in region), sum(x.linked for x, *_ in region)
+        if not any(reads for *_, reads in rows):
+            fits = any(a for _, a, _ in region) and line.region not in doubtful
+        else:
+            fits = any(reads for *_, reads in region) and (reaches or 2 * line.linked < len(line.text))
+            if line.region in doubtful:
+                fits = fits and 10 * size >= article and 4 * linked <= size
+        if fits:
+            told.append(line)
+    return told
+
+
+def test_html_lines_equal_one_by_one():
+    rng = random.Random(8)
+    changed = 0
+    for _ in range(3000):
+        lines = []
+        for _ in range(rng.randint(1, 14)):
+            size = rng.choice([3, 8, 20, 60, 150, 400])
+            lines.append(html_text.Line("x" * size, rng.randint(0, 9), rng.randint(0, 5), rng.choice([0, 0, 0, size // 3, size])))
+        mains = set(rng.sample(range(6), rng.randint(0, 3)))
+        doubtful = {r for r in mains if rng.random() < 0.3}
+        got = html_text.chosen_lines(lines, mains, doubtful)
+        assert got == _slow_lines(lines, mains, doubtful)
+        changed += 0 < len(got) < len(lines)
+    assert changed > 500
+    assert html_text.chosen_lines([], set(), set()) == []
+
+
+def test_html_rows_of_an_empty_table(spark):
+    assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
 def test_html_rows(spark):
     rows = [(1, "u", "<p>a</p>", 1), (2, None, None, 2), (3, "u", "", 3), (1, "u", "<p>a</p>", 4)]
     found = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text int"))
