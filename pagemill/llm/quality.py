@@ -1,9 +1,10 @@
 """Quality rules: counts of a text's words and lines, and the perplexity of its characters.
 
-A modified Kneser-Ney model for each language is counted by Spark over all distinct texts. Its symbols are 32 classes of
-bytes, so a language has at most 32^4 four-grams whatever the corpus: the model has a fixed bound, is kept in
-sorted arrays of n-gram hashes and sent to all tasks. Texts whose perplexity is outside their language's band
-are rejected.
+A modified Kneser-Ney model for each language is counted by Spark over all distinct texts. Its symbols are 64 classes
+of characters that keep the letters of a script apart, so a language has at most 64^4 four-grams whatever the corpus
+(some ten thousand in practice): the model is kept in sorted arrays of n-gram hashes, twelve bytes an n-gram, and sent
+to all tasks. Texts whose perplexity is outside their language's band are rejected. A language with few distinct texts
+would only be held against itself: it is judged by the model and the band of all texts.
 """
 
 from __future__ import annotations
@@ -11,10 +12,10 @@ from __future__ import annotations
 import pickle
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
@@ -24,11 +25,13 @@ from pagemill.llm.common import as_batch, slices, utf8
 from pagemill.session import cut_lineage
 
 ORDER = 4
-BITS = 5  # of a symbol
-#: The model of all texts, which those without a language take; every language has its own.
+BITS = 6  # of a symbol
+#: The model of all texts, which those without a language and those of small languages take.
 POOLED = ""
-#: Languages whose models a task holds at a time.
-MOST_HELD = 32
+#: Distinct texts from which a language has a model and a band of its own.
+LEAST_TEXTS = 8
+#: Languages whose tables of looked-up n-grams a task holds at a time.
+MOST_HELD = 8
 #: Words below which, and percentage of words in repeated windows above which, a text fails.
 LEAST_WORDS, MOST_REPEATED = 50, 50
 #: The band below and above the median of log perplexity: distances to the quartile on that side, and at least so
@@ -36,19 +39,37 @@ LEAST_WORDS, MOST_REPEATED = 50, 50
 BELOW, ABOVE = (8.0, 0.08), (10.0, 0.15)
 #: Steps of log perplexity in which its distribution is counted.
 STEP = 0.005
+#: Four-grams that a task sums up before it passes them on.
+MOST_SUMS = 1 << 21
 
-#: Letters, white space, digits, other ASCII, and three ranges of the bytes of other characters.
-_SYMBOLS = bytearray(28 for _ in range(256))
-for _b in range(256):
-    if chr(_b).isalpha() and _b < 128:
-        _SYMBOLS[_b] = 1 + (_b | 32) - 97
-    elif _b in b" \t\n\x0b\x0c\r":
-        _SYMBOLS[_b] = 0
-    elif chr(_b).isdigit() and _b < 128:
-        _SYMBOLS[_b] = 27
-    elif _b >= 128:
-        _SYMBOLS[_b] = 29 if _b < 0xA0 else 30 if _b < 0xC0 else 31
-_SYMBOLS = bytes(_SYMBOLS)
+
+@cache
+def _symbols() -> np.ndarray:
+    """The symbol of each character of the basic plane.
+
+    White space; 26 ASCII letters without case; digits; marks of sentences, other marks and controls in ASCII; marks
+    elsewhere; letters elsewhere, without case, by place: 32 neighbours never share a symbol.
+    """
+    out = np.empty(1 << 16, dtype=np.uint8)
+    for code in range(1 << 16):
+        sign = chr(code)
+        if sign in " \t\n\x0b\x0c\r":
+            out[code] = 0
+        elif code < 128 and sign.isalpha():
+            out[code] = 1 + (code | 32) - 97
+        elif code < 128:
+            out[code] = 27 if sign.isdigit() else 28 if sign in ".,;:!?'\"()-" else 29 if sign.isprintable() else 30
+        else:
+            out[code] = 32 + ord(sign.lower()[0]) % 32 if sign.isalpha() else 31
+    return out
+
+
+def symbols(text: bytes) -> np.ndarray:
+    """The symbol of each character of a UTF-8 text; characters beyond the basic plane go by place."""
+    if text.isascii():
+        return _symbols()[np.frombuffer(text, dtype=np.uint8)]
+    codes = np.frombuffer(text.decode().encode("utf-32-le"), dtype=np.uint32)
+    return np.where(codes < 1 << 16, _symbols()[np.minimum(codes, 0xFFFF)], 32 + codes % 32).astype(np.uint8)
 
 
 class Counts(NamedTuple):
@@ -82,20 +103,47 @@ def count_text(data: bytes) -> Counts:
 
 
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(the four-gram that ends at each byte of the texts one after the other, ends of the texts)."""
-    ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
-    symbols = np.frombuffer(b"".join(texts).translate(_SYMBOLS), dtype=np.uint8).astype(np.int32)
-    codes = symbols.copy()
+    """(the four-gram that ends at each character of the texts one after the other, ends of the texts)."""
+    parts = [symbols(t) for t in texts]
+    ends = np.cumsum([len(x) for x in parts], dtype=np.int64)
+    own = np.concatenate([*parts, np.zeros(0, dtype=np.uint8)]).astype(np.int32)
+    codes = own.copy()
     for back in range(1, ORDER):
-        shifted = np.zeros_like(symbols)
-        shifted[back:] = symbols[:-back]
-        for at in range(back):  # before a text's first byte there is white space
+        shifted = np.zeros_like(own)
+        shifted[back:] = own[:-back]
+        for at in range(back):  # before a text's first character there is white space
             first = ends[:-1] + at
-            shifted[first[first < len(symbols)]] = 0
+            shifted[first[first < len(own)]] = 0
         codes |= shifted << (BITS * back)
     return codes, ends
 
 
+class Pages:
+    """A number for every four-gram, kept only for those first two symbols that came up."""
+
+    def __init__(self, fill: float, dtype: type):
+        self.fill, self.at = fill, np.full(1 << 2 * BITS, -1, dtype=np.int64)
+        self.values = np.zeros(0, dtype=dtype)
+
+    def places(self, codes: np.ndarray) -> np.ndarray:
+        """Where in ``values`` the four-grams are; makes room for new ones."""
+        page = codes >> 2 * BITS
+        at = self.at[page]
+        if (at < 0).any():
+            fresh = np.unique(page[at < 0])
+            self.at[fresh] = len(self.values) + np.arange(len(fresh)) * (1 << 2 * BITS)
+            self.values = np.concatenate([self.values, np.full(len(fresh) << 2 * BITS, self.fill, dtype=self.values.dtype)])
+            at = self.at[page]
+        return at + (codes & ((1 << 2 * BITS) - 1))
+
+    def items(self) -> tuple[np.ndarray, np.ndarray]:
+        """(four-grams, numbers) that are not zero."""
+        pages = np.nonzero(self.at >= 0)[0]
+        pages = pages[np.argsort(self.at[pages])]
+        seen = np.nonzero(self.values)[0]
+        return ((pages[seen >> 2 * BITS] << 2 * BITS) | (seen & ((1 << 2 * BITS) - 1))).astype(np.int32), self.values[seen]
+
+
 def distinct_texts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(text, langs): every text once, with the languages its copies are labelled with; combined by task first."""
     chosen = docs.select(F.col(text_col).cast("string").alias("text"), F.nullif(F.col(lang_col).cast("string"), F.lit(POOLED)).alias("lang"))
@@ -107,64 +155,79 @@ def text_hash(text_col: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
 
+def own_languages(distinct: DataFrame) -> DataFrame:
+    """(lang): those with ``LEAST_TEXTS`` distinct texts or more."""
+    return distinct.select(F.explode("langs").alias("lang")).groupBy("lang").count().where(F.col("count") >= LEAST_TEXTS).select("lang")
+
+
 def gram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, gram, n) over all distinct texts, and over those of each language; summed by task and then by Spark."""
-    schema = pa.schema([("lang", pa.string()), ("gram", pa.int32()), ("n", pa.int64())])
+    """(lang, gram, n) over all distinct texts, and over those of each language with enough of them.
+
+    Tasks sum by the set of a text's languages, so a text is gone through once; Spark sums these up.
+    """
+    schema = pa.schema([("langs", pa.list_(pa.string())), ("gram", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = {}
+        held: dict[tuple[str, ...], Pages] = {}
 
         def told():
-            for lang, sums in held.items():
-                seen = np.nonzero(sums)[0]
-                yield as_batch(schema, [lang] * len(seen), seen.astype(np.int32), sums[seen])
+            for langs, sums in held.items():
+                seen, n = sums.items()
+                for k in range(0, len(seen), 1 << 16):
+                    part = slice(k, k + (1 << 16))
+                    yield as_batch(schema, [langs] * len(seen[part]), seen[part], n[part])
             held.clear()
 
         for batch in batches:
             for part in slices(batch, "text"):
-                texts, langs = utf8(part.column("text")), [[POOLED, *x] for x in part.column("langs").to_pylist()]
-                for lang in {x for own in langs for x in own}:
-                    codes, _ = grams([t for t, own in zip(texts, langs, strict=True) if lang in own])
-                    if lang not in held and len(held) >= 32:
+                groups: dict[tuple[str, ...], list[bytes]] = {}
+                for text, langs in zip(utf8(part.column("text")), part.column("langs").to_pylist(), strict=True):
+                    groups.setdefault(tuple(sorted(langs)), []).append(text)
+                for langs, texts in groups.items():
+                    sums = held.setdefault(langs, Pages(0, np.int64))
+                    at = sums.places(grams(texts)[0])
+                    sums.values += np.bincount(at, minlength=len(sums.values))
+                    if sum(len(x.values) for x in held.values()) > 4 * MOST_SUMS:
                         yield from told()
-                    held.setdefault(lang, np.zeros(1 << BITS * ORDER, dtype=np.int64))
-                    held[lang] += np.bincount(codes, minlength=1 << BITS * ORDER)
         yield from told()
 
-    return distinct_texts(docs, text_col, lang_col).mapInArrow(run, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    distinct = cut_lineage(distinct_texts(docs, text_col, lang_col))
+    summed = distinct.mapInArrow(run, "langs array<string>, gram int, n long").groupBy("langs", "gram").agg(F.sum("n").alias("n"))
+    pooled = F.array(F.lit(POOLED))
+    each = summed.select(F.explode(F.concat(pooled, "langs")).alias("lang"), "gram", "n").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    own = own_languages(distinct).withColumnRenamed("lang", "own")
+    return each.join(own, F.col("lang") == F.col("own"), "left").where((F.col("lang") == POOLED) | F.col("own").isNotNull()).drop("own")
 
 
 class KneserNey:
     """An interpolated modified Kneser-Ney model in sorted hash arrays, by order."""
 
-    def __init__(self, counts: np.ndarray):
-        """``counts[gram]`` for every four-gram."""
-        vocabulary = 1 << BITS
-        raw = [None] * (ORDER + 1)
-        raw[ORDER] = counts.astype(np.float64)
+    def __init__(self, seen: np.ndarray, counts: np.ndarray):
+        """``seen``: different four-grams; ``counts``: how often each came up."""
+        by = np.argsort(seen)
+        raw = {ORDER: (seen[by].astype(np.int64), counts[by].astype(np.float64))}
         for order in range(ORDER - 1, 0, -1):  # in how many contexts, one symbol longer, it was seen
-            longer = raw[order + 1].reshape(vocabulary, -1)
-            raw[order] = (longer > 0).sum(0).astype(np.float64)
-        lower = np.full(vocabulary, 1 / vocabulary)
+            shorter, n = np.unique(raw[order + 1][0] & ((1 << BITS * order) - 1), return_counts=True)
+            raw[order] = shorter, n.astype(np.float64)
         self.keys: list[np.ndarray] = []
         self.values: list[np.ndarray] = []
         self.contexts: list[np.ndarray] = []
         self.backoffs: list[np.ndarray] = []
+        shorter, lower = np.arange(1 << BITS), np.full(1 << BITS, 1 / (1 << BITS))
         for order in range(1, ORDER + 1):
-            c = raw[order].reshape(-1, vocabulary)
-            total = c.sum(1, keepdims=True)
+            own, c = raw[order]
             n = [max(1, int((c == k).sum())) for k in (1, 2, 3, 4)]
             share = n[0] / (n[0] + 2 * n[1])
             discounts = np.array([0, *(min(max(k - (k + 1) * share * n[k] / n[k - 1], 0.1), k - 0.05) for k in (1, 2, 3))])
             taken = discounts[np.minimum(c, 3).astype(np.int64)]
-            some = np.maximum(total, 1)
-            backoff = np.where(total > 0, taken.sum(1, keepdims=True) / some, 1.0)
-            below = np.tile(lower, (c.shape[0] // max(1, lower.size // vocabulary), 1)).reshape(c.shape) if order > 1 else lower[None, :]
-            full = (c - taken) / some + backoff * below
-            seen = np.nonzero(c.reshape(-1) > 0)[0]
-            self._keep(order, seen, full.reshape(-1)[seen], np.nonzero(total[:, 0])[0], backoff[total[:, 0] > 0, 0])
-            lower = full.reshape(-1)
-        self.unseen = -np.log(vocabulary)
+            contexts, starts, which = np.unique(own >> BITS, return_index=True, return_inverse=True)
+            total = np.add.reduceat(c, starts) if len(own) else np.zeros(0)
+            backoff = (np.add.reduceat(taken, starts) if len(own) else np.zeros(0)) / total
+            below = lower[np.searchsorted(shorter, own & ((1 << BITS * max(1, order - 1)) - 1))]
+            full = (c - taken) / total[which] + backoff[which] * below
+            self._keep(order, own, full, contexts, backoff)
+            shorter, lower = own, full
+        self.unseen = -np.log(1 << BITS)
 
     def _keep(self, order: int, seen: np.ndarray, values: np.ndarray, contexts: np.ndarray, backoffs: np.ndarray) -> None:
         for grams_, numbers, keys, out in ((seen, values, self.keys, self.values), (contexts, backoffs, self.contexts, self.backoffs)):
@@ -201,91 +264,102 @@ def _look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[
 
 
 def language_models(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, Broadcast]:
-    """The pooled model and one for each language, sent one by one; none for an empty table.
+    """The pooled model and one for each language with enough texts, sent one by one; none for a table without text.
 
-    A model is built where its counts are, at most 32^4 by the symbols; the driver passes on one after the other.
+    A model is built where its counts are; the driver passes on one after the other and keeps none.
     """
     schema = pa.schema([("lang", pa.string()), ("model", pa.binary())])
 
     def build(rows: pa.Table) -> pa.Table:
-        dense = np.zeros(1 << BITS * ORDER, dtype=np.int64)
-        dense[rows.column("gram").to_numpy()] = rows.column("n").to_numpy()
-        return pa.table([[rows.column("lang")[0].as_py()], [pickle.dumps(KneserNey(dense))]], schema=schema)
+        model = KneserNey(rows.column("gram").to_numpy(), rows.column("n").to_numpy())
+        return pa.table([[rows.column("lang")[0].as_py()], [pickle.dumps(model)]], schema=schema)
 
     built = cut_lineage(gram_counts(docs, text_col, lang_col).groupBy("lang").applyInArrow(build, "lang string, model binary"))
     send = docs.sparkSession.sparkContext.broadcast
-    return {row["lang"]: send(bytes(row["model"])) for row in built.toLocalIterator()}
+    return {row["lang"]: send(pickle.loads(row["model"])) for row in built.toLocalIterator()}
 
 
 class Scorer:
-    """Log perplexity a character of texts, by the model of their language.
+    """Log perplexity a character of texts, by the model of their language and by the pooled one.
 
-    A task loads the models of the languages it meets and holds ``MOST_HELD`` of them.
+    A task meets the models of its own texts' languages; of ``MOST_HELD`` it holds the values looked up so far.
     """
 
     def __init__(self, models: dict[str, Broadcast]):
         self.models = models
-        self.held: dict[str, tuple[KneserNey, np.ndarray]] = {}
+        self.held: dict[str, Pages] = {}
 
-    def _model(self, lang: str) -> tuple[KneserNey, np.ndarray]:
-        """A language's model and its table of four-grams looked up so far; the one used longest ago goes first."""
-        own = self.held.pop(lang, None)
-        if own is None:
+    def _values(self, lang: str, codes: np.ndarray) -> np.ndarray:
+        """Log probability at each place; the table used longest ago goes first."""
+        known = self.held.pop(lang, None)
+        if known is None:
             if len(self.held) >= MOST_HELD:
                 del self.held[next(iter(self.held))]
-            sent = self.models[lang]
-            own = pickle.loads(sent.value), np.full(1 << BITS * ORDER, np.nan, dtype=np.float32)
-            if getattr(sent, "_path", None):  # it can be read from the file again
-                vars(sent).pop("_value", None)
-        self.held[lang] = own
-        return own
-
-    def __call__(self, texts: list[bytes], langs: list[str | None]) -> np.ndarray:
-        out = np.zeros(len(texts))
+            known = Pages(np.nan, np.float32)
+        self.held[lang] = known
+        at = known.places(codes)
+        values = known.values[at]
+        new = np.isnan(values)
+        if new.any():
+            fresh, where = np.unique(codes[new], return_index=True)
+            known.values[at[new][where]] = self.models[lang].value.log_probabilities(fresh)
+            values = known.values[at]
+        return values
+
+    def __call__(self, texts: list[bytes], langs: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(by the language's model, by the pooled model) for each text; 0 for no bytes."""
+        out, pooled = np.zeros(len(texts)), np.zeros(len(texts))
         which = [lang if lang in self.models else POOLED for lang in langs]
         for lang in sorted(set(which)):
             rows = [k for k, own in enumerate(which) if own == lang and texts[k]]
             if not rows:
                 continue
             codes, ends = grams([texts[k] for k in rows])
-            model, known = self._model(lang)
-            values = known[codes]
-            if np.isnan(values).any():
-                fresh = np.unique(codes[np.isnan(values)])
-                known[fresh] = model.log_probabilities(fresh)
-                values = known[codes]
             starts = np.concatenate([[0], ends[:-1]])
-            out[rows] = -np.add.reduceat(values, starts, dtype=np.float64) / (ends - starts)
-        return out
+            pooled[rows] = -np.add.reduceat(self._values(POOLED, codes), starts, dtype=np.float64) / (ends - starts)
+            out[rows] = pooled[rows] if lang == POOLED else -np.add.reduceat(self._values(lang, codes), starts, dtype=np.float64) / (ends - starts)
+        return out, pooled
 
 
-def features(docs: DataFrame, models: dict[str, Broadcast], id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Per row: doc_id, hash of the text, lang (of its model), the base counts, base_failed, log_perplexity (0: no bytes)."""
+MEASURES = "struct<lang: string, " + ", ".join(f"{n}: long" for n in Counts._fields) + ", base_failed: boolean, log_perplexity: double, pooled_perplexity: double>"
+
+
+def measure(models: dict[str, Broadcast], text: Column, lang: Column) -> Column:
+    """A struct: lang (of the text's model), the base counts, base_failed, both log perplexities (0: no bytes)."""
     names = [*Counts._fields]
-    schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("lang", pa.string()), *((n, pa.int64()) for n in names), ("base_failed", pa.bool_()), ("log_perplexity", pa.float64())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(MEASURES)
+    def measured(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         score = Scorer(models)
-        for batch in batches:
-            for part in slices(batch, "text"):
+        for own_texts, own_langs in batches:
+            rows = []
+            for part in slices(pa.RecordBatch.from_arrays([own_texts, own_langs], ["text", "lang"]), "text"):
                 texts, langs = utf8(part.column("text")), part.column("lang").to_pylist()
-                counts = [count_text(t) for t in texts]
-                own = [x if x in models else POOLED for x in langs]
-                yield as_batch(schema, part.column("doc_id"), part.column("hash"), own, *([c[k] for c in counts] for k in range(len(names))), [c.failed() for c in counts], score(texts, langs))
+                for counts, own, value, pooled in zip(map(count_text, texts), langs, *score(texts, langs), strict=True):
+                    rows.append({"lang": own if own in models else POOLED, **counts._asdict(), "base_failed": counts.failed(), "log_perplexity": value, "pooled_perplexity": pooled})
+            kinds = [("lang", pa.string()), *((n, pa.int64()) for n in names), ("base_failed", pa.bool_()), ("log_perplexity", pa.float64()), ("pooled_perplexity", pa.float64())]
+            yield pa.array(rows, pa.struct(kinds))
 
-    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(text_col).alias("hash"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    kinds = ", ".join(f"{n} long" for n in names)
-    return chosen.mapInArrow(run, f"doc_id long, hash long, lang string, {kinds}, base_failed boolean, log_perplexity double")
+    return measured(text.cast("string"), lang.cast("string"))
+
+
+def features(docs: DataFrame, models: dict[str, Broadcast], id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """Per row: doc_id, hash of the text and its measures."""
+    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(text_col).alias("hash"), measure(models, F.col(text_col), F.col(lang_col)).alias("measures"))
+    return chosen.select("doc_id", "hash", "measures.*")
 
 
 def bands(measured: DataFrame) -> dict[str, tuple[float, float]]:
-    """Each language's lower and upper log perplexity, from the texts that pass the base rules.
+    """Each model's lower and upper log perplexity, from the texts that pass the base rules; the pooled one's from all.
 
-    Copies count once, so that no group of them narrows a band to itself. The distribution is counted in steps, so what is sent and ordered has a bound.
+    Copies count once, so that no group of them narrows a band to itself. The distribution is counted in steps, so
+    what is sent and ordered has a bound: the models times the steps.
     """
-    steps = measured.where("not base_failed").select("lang", "hash", F.round(F.col("log_perplexity") / STEP).cast("int").alias("step")).distinct()
+    step = lambda name: F.round(F.col(name) / STEP).cast("int").alias("step")
+    good = measured.where("not base_failed")
+    steps = good.where(F.col("lang") != POOLED).select("lang", "hash", step("log_perplexity")).union(good.select(F.lit(POOLED), "hash", step("pooled_perplexity"))).distinct()
     counted: dict[str, list[tuple[int, int]]] = {}
-    for row in steps.groupBy("lang", "step").agg(F.count("*").alias("n")).collect():  # languages x ln(32) / STEP
+    for row in steps.groupBy("lang", "step").agg(F.count("*").alias("n")).collect():  # models x ln(64) / STEP
         counted.setdefault(row["lang"], []).append((row["step"], row["n"]))
     out = {}
     for lang, pairs in counted.items():
@@ -295,38 +369,32 @@ def bands(measured: DataFrame) -> dict[str, tuple[float, float]]:
     return out
 
 
+def _limits(docs: DataFrame, measured: DataFrame) -> DataFrame:
+    """One row for each model: lang, low, high."""
+    return F.broadcast(docs.sparkSession.createDataFrame([(lang, *map(float, ends)) for lang, ends in bands(measured).items()], "lang string, low double, high double"))
+
+
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Per row: doc_id, the base counts, base_failed, log_perplexity, kept.
 
-    A null or empty text has no words and fails. A null or empty language takes the model of all
-    texts. Repeated rows are judged alike; other columns are ignored; an empty table gives an empty one.
+    A null or empty text has no words and fails. A null or empty language and one with fewer than ``LEAST_TEXTS``
+    distinct texts take the model and the band of all texts. Repeated rows are judged alike; other columns are ignored;
+    an empty table gives an empty one.
     """
     models = language_models(docs, text_col, lang_col)
     measured = cut_lineage(features(docs, models, id_col, text_col, lang_col))
-    limits = docs.sparkSession.createDataFrame([(lang, *map(float, ends)) for lang, ends in bands(measured).items()], "lang string, low double, high double")
     inside = F.coalesce(F.col("log_perplexity").between(F.col("low"), F.col("high")), F.lit(False))
-    joined = measured.join(F.broadcast(limits), "lang", "left")  # one row for each language
-    return joined.withColumn("kept", ~F.col("base_failed") & inside).drop("lang", "hash", "low", "high")
+    joined = measured.join(_limits(docs, measured), "lang", "left")
+    return joined.withColumn("kept", ~F.col("base_failed") & inside).drop("lang", "hash", "pooled_perplexity", "low", "high")
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows that ``judge`` keeps, with all their columns."""
+    """The rows that ``judge`` keeps, with all their columns. Texts are measured once and written beside their rows."""
     models = language_models(docs, text_col, lang_col)
-    limits = bands(features(docs.withColumn("doc_id", F.lit(None).cast("long")), models, "doc_id", text_col, lang_col))
-    sent = docs.sparkSession.sparkContext.broadcast(limits)
-
-    @F.pandas_udf("boolean")
-    def good(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        within = sent.value
-        score = Scorer(models)
-        for texts, langs in batches:
-            out = []
-            for k in range(0, len(texts), 256):
-                own = [(t or "").encode() for t in texts[k : k + 256]]
-                tongues = [x if x in models else POOLED for x in langs[k : k + 256]]
-                for text, lang, value in zip(own, tongues, score(own, tongues), strict=True):
-                    low, high = within.get(lang, (1, 0))
-                    out.append(bool(low <= value <= high and not count_text(text).failed()))
-            yield pd.Series(out, dtype=bool)
-
-    return docs.where(good(F.col(text_col).cast("string"), F.col(lang_col).cast("string")))
+    beside = "__measures"
+    measured = cut_lineage(docs.withColumn(beside, measure(models, F.col(text_col), F.col(lang_col))))
+    narrow = measured.select(text_hash(text_col).alias("hash"), f"{beside}.*")
+    limits = _limits(docs, narrow).select(F.col("lang").alias("__lang"), F.col("low").alias("__low"), F.col("high").alias("__high"))
+    inside = F.col(f"{beside}.log_perplexity").between(F.col("__low"), F.col("__high"))
+    kept = measured.where(~F.col(f"{beside}.base_failed")).join(limits, F.col(f"{beside}.lang") == F.col("__lang")).where(inside)
+    return kept.select(*docs.columns)

@@ -12,6 +12,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pagemill.llm import byte_bpe, components, html_text, language, ngram_trie, packing, quality, secrets, simhash, topk, urls
@@ -496,11 +497,89 @@ def test_quality_rare_language_has_its_own_band(spark, monkeypatch):
 
 def test_kneser_ney_sums_to_one():
     rng = np.random.default_rng(0)
-    counts = np.bincount((rng.zipf(1.3, 50_000) * 977) % (1 << 20), minlength=1 << 20)
-    model = quality.KneserNey(counts)
-    contexts = np.concatenate([np.nonzero(counts)[0][:100] >> 5, rng.integers(0, 1 << 15, 50)])
-    logs = model.log_probabilities((contexts[:, None] << 5 | np.arange(32)).reshape(-1))
-    assert np.exp(logs).reshape(-1, 32).sum(1) == pytest.approx(1, abs=1e-5)
+    counts = np.bincount((rng.zipf(1.3, 50_000) * 977) % (1 << 24), minlength=1 << 24)
+    seen = np.nonzero(counts)[0]
+    model = quality.KneserNey(seen, counts[seen])
+    contexts = np.concatenate([seen[:100] >> 6, rng.integers(0, 1 << 18, 50)])
+    logs = model.log_probabilities((contexts[:, None] << 6 | np.arange(64)).reshape(-1))
+    assert np.exp(logs).reshape(-1, 64).sum(1) == pytest.approx(1, abs=1e-5)
+
+
+def _plain_kneser_ney(texts):
+    """Log probability of a character after three, by dictionaries of tuples."""
+    raw = {4: Counter()}
+    for text in texts:
+        signs = (0, 0, 0, *quality.symbols(text.encode()).tolist())
+        raw[4].update(signs[k : k + 4] for k in range(len(signs) - 3))
+    for order in (3, 2, 1):
+        raw[order] = Counter(gram[1:] for gram in raw[order + 1])
+    discounts, totals, taken = {}, {}, {}
+    for order, counts in raw.items():
+        n = [max(1, sum(c == k for c in counts.values())) for k in (1, 2, 3, 4)]
+        y = n[0] / (n[0] + 2 * n[1])
+        discounts[order] = [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.1), k - 0.05) for k in (1, 2, 3)]
+        for gram, c in counts.items():
+            totals[gram[:-1]] = totals.get(gram[:-1], 0) + c
+            taken[gram[:-1]] = taken.get(gram[:-1], 0) + discounts[order][min(c, 3) - 1]
+
+    def probability(gram):
+        if not gram:
+            return 1 / 64
+        below, context = probability(gram[1:]), gram[:-1]
+        if context not in totals:
+            return below
+        c = raw[len(gram)][gram]
+        return (c - (discounts[len(gram)][min(c, 3) - 1] if c else 0) + taken[context] * below) / totals[context]
+
+    return probability
+
+
+def _russian(rng, n=90):
+    words = "в начале было слово и дом стоял у реки где дети играли летом а старик читал книгу о море которое шумело вдали каждый вечер".split()
+    return _prose(rng, words, n)
+
+
+def test_quality_against_plain_model_bands_and_verdicts(spark):
+    """Perplexities, bands and verdicts by dictionaries; the languages are told apart by their own models."""
+    rng = random.Random(21)
+    english = "the river ran past a small house where children played until evening and nobody knew why they stayed so late".split()
+    rows = [(k, _russian(rng), "ru") for k in range(30)] + [(100 + k, _prose(rng, english, 70), "en") for k in range(30)]
+    garble = lambda t: "".join(chr(rng.randint(0x430, 0x44F)) if c > "\x7f" else c for c in t)
+    rows += [(200, garble(rows[0][1]), "ru"), (201, _prose(rng, english, 60), None), (202, "", "en"), (203, None, None), (204, rows[3][1], "ru")]
+    found = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)).collect()}
+    distinct = {(t or "", lang) for _, t, lang in rows}
+    models = {lang: _plain_kneser_ney([t for t, own in distinct if own == lang]) for lang in ("ru", "en")}
+    models[None] = _plain_kneser_ney([t for t in {t for t, _ in distinct}])
+
+    def perplexity(text, lang):
+        signs = (0, 0, 0, *quality.symbols(text.encode()).tolist())
+        return -sum(math.log(models[lang](signs[k : k + 4])) for k in range(len(signs) - 3)) / max(1, len(text))
+
+    for doc_id, text, lang in rows:
+        assert found[doc_id].log_perplexity == pytest.approx(perplexity(text or "", lang), abs=1e-4)
+    good = {doc_id for doc_id, *_ in rows if not found[doc_id].base_failed}
+    for lang in ("ru", "en", None):
+        steps = sorted(round(value / quality.STEP) for value in ({t: perplexity(t, lang) for i, t, own in rows if i in good and lang in (own, None)}).values())
+        low, middle, high = (steps[math.ceil(q * len(steps)) - 1] * quality.STEP for q in (0.25, 0.5, 0.75))
+        ends = middle - max(8 * (middle - low), 0.08), middle + max(10 * (high - middle), 0.15)
+        for doc_id, text, own in rows:
+            if own == lang:
+                assert found[doc_id].kept == (doc_id in good and ends[0] <= perplexity(text or "", lang) <= ends[1]), doc_id
+    assert not found[200].kept and all(found[k].kept for k in [*range(30), *range(100, 130), 204])
+
+
+def test_quality_small_languages_are_not_their_own_judges(spark):
+    rng = random.Random(22)
+    junk = lambda: " ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(rng.randint(2, 9))) for _ in range(80))
+    words = "the river ran past a small house where children played until evening and nobody knew why they stayed so late".split()
+    rows = [(k, _prose(rng, words), f"label {k}") for k in range(10_000)]
+    rows += [(20_000 + k, junk(), "odd") for k in range(3)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    assert set(quality.language_models(table)) == {""}
+    found = {r.doc_id: r.kept for r in quality.judge(table).collect()}
+    assert [i for i, kept in found.items() if not kept and i < 20_000] == []
+    assert not any(found[20_000 + k] for k in range(3))
+    assert quality.keep_good(table.withColumn("low", F.lit(1))).columns == ["doc_id", "text", "lang", "low"]
 
 
 def test_top_k(spark):
