@@ -119,11 +119,11 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Pages:
-    """A number for every four-gram, kept only for those first two symbols that came up."""
+    """A number for every four-gram, not known at first; kept only for those first two symbols that came up."""
 
-    def __init__(self, fill: float, dtype: type):
-        self.fill, self.at = fill, np.full(1 << 2 * BITS, -1, dtype=np.int64)
-        self.values = np.zeros(0, dtype=dtype)
+    def __init__(self):
+        self.at = np.full(1 << 2 * BITS, -1, dtype=np.int64)
+        self.values = np.zeros(0, dtype=np.float32)
 
     def places(self, codes: np.ndarray) -> np.ndarray:
         """Where in ``values`` the four-grams are; makes room for new ones."""
@@ -132,17 +132,10 @@ class Pages:
         if (at < 0).any():
             fresh = np.unique(page[at < 0])
             self.at[fresh] = len(self.values) + np.arange(len(fresh)) * (1 << 2 * BITS)
-            self.values = np.concatenate([self.values, np.full(len(fresh) << 2 * BITS, self.fill, dtype=self.values.dtype)])
+            self.values = np.concatenate([self.values, np.full(len(fresh) << 2 * BITS, np.nan, dtype=np.float32)])
             at = self.at[page]
         return at + (codes & ((1 << 2 * BITS) - 1))
 
-    def items(self) -> tuple[np.ndarray, np.ndarray]:
-        """(four-grams, numbers) that are not zero."""
-        pages = np.nonzero(self.at >= 0)[0]
-        pages = pages[np.argsort(self.at[pages])]
-        seen = np.nonzero(self.values)[0]
-        return ((pages[seen >> 2 * BITS] << 2 * BITS) | (seen & ((1 << 2 * BITS) - 1))).astype(np.int32), self.values[seen]
-
 
 def distinct_texts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(text, langs): every text once, with the languages its copies are labelled with; combined by task first."""
@@ -155,9 +148,10 @@ def text_hash(text_col: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
 
-def own_languages(distinct: DataFrame) -> DataFrame:
-    """(lang): those with ``LEAST_TEXTS`` distinct texts or more."""
-    return distinct.select(F.explode("langs").alias("lang")).groupBy("lang").count().where(F.col("count") >= LEAST_TEXTS).select("lang")
+def own_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(lang): those with ``LEAST_TEXTS`` distinct texts or more, by the texts' hashes."""
+    hashes = docs.select(F.col(lang_col).cast("string").alias("lang"), text_hash(text_col).alias("hash")).distinct()
+    return hashes.groupBy("lang").agg(F.count("*").alias("n")).where((F.col("n") >= LEAST_TEXTS) & (F.col("lang") != POOLED)).select("lang")
 
 
 def gram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -168,34 +162,37 @@ def gram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     schema = pa.schema([("langs", pa.list_(pa.string())), ("gram", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, ...], Pages] = {}
+        held: dict[tuple[str, ...], tuple[np.ndarray, np.ndarray]] = {}
 
         def told():
-            for langs, sums in held.items():
-                seen, n = sums.items()
+            for langs, (seen, n) in held.items():
                 for k in range(0, len(seen), 1 << 16):
                     part = slice(k, k + (1 << 16))
                     yield as_batch(schema, [langs] * len(seen[part]), seen[part], n[part])
             held.clear()
 
+        size = 0
         for batch in batches:
             for part in slices(batch, "text"):
                 groups: dict[tuple[str, ...], list[bytes]] = {}
                 for text, langs in zip(utf8(part.column("text")), part.column("langs").to_pylist(), strict=True):
                     groups.setdefault(tuple(sorted(langs)), []).append(text)
                 for langs, texts in groups.items():
-                    sums = held.setdefault(langs, Pages(0, np.int64))
-                    at = sums.places(grams(texts)[0])
-                    sums.values += np.bincount(at, minlength=len(sums.values))
-                    if sum(len(x.values) for x in held.values()) > 4 * MOST_SUMS:
+                    seen, n = np.unique(grams(texts)[0], return_counts=True)
+                    if langs in held:
+                        seen, where = np.unique(np.concatenate([held[langs][0], seen]), return_inverse=True)
+                        n = np.bincount(where, np.concatenate([held[langs][1], n])).astype(np.int64)
+                    size += len(seen) - (len(held[langs][0]) if langs in held else 0)
+                    held[langs] = seen, n
+                    if size > MOST_SUMS:
                         yield from told()
+                        size = 0
         yield from told()
 
-    distinct = cut_lineage(distinct_texts(docs, text_col, lang_col))
-    summed = distinct.mapInArrow(run, "langs array<string>, gram int, n long").groupBy("langs", "gram").agg(F.sum("n").alias("n"))
+    summed = distinct_texts(docs, text_col, lang_col).mapInArrow(run, "langs array<string>, gram int, n long").groupBy("langs", "gram").agg(F.sum("n").alias("n"))
     pooled = F.array(F.lit(POOLED))
     each = summed.select(F.explode(F.concat(pooled, "langs")).alias("lang"), "gram", "n").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    own = own_languages(distinct).withColumnRenamed("lang", "own")
+    own = own_languages(docs, text_col, lang_col).withColumnRenamed("lang", "own")
     return each.join(own, F.col("lang") == F.col("own"), "left").where((F.col("lang") == POOLED) | F.col("own").isNotNull()).drop("own")
 
 
@@ -295,7 +292,7 @@ class Scorer:
         if known is None:
             if len(self.held) >= MOST_HELD:
                 del self.held[next(iter(self.held))]
-            known = Pages(np.nan, np.float32)
+            known = Pages()
         self.held[lang] = known
         at = known.places(codes)
         values = known.values[at]
