@@ -41,6 +41,8 @@ BELOW, ABOVE = (8.0, 0.08), (10.0, 0.15)
 STEP = 0.005
 #: Four-grams that a task sums up before it passes them on.
 MOST_SUMS = 1 << 21
+#: Bytes of text whose four-grams are looked at together; what is held for them takes up to forty times as much.
+AT_ONCE = 1 << 20
 
 
 @cache
@@ -119,22 +121,25 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Pages:
-    """A number for every four-gram, not known at first; kept only for those first two symbols that came up."""
+    """A number for every four-gram, not known at first; kept only for those first three symbols that came up.
+
+    A page is one last symbol, 256 bytes: pages of two symbols took some 30 MB a language, mostly never asked for.
+    """
 
     def __init__(self):
-        self.at = np.full(1 << 2 * BITS, -1, dtype=np.int64)
+        self.at = np.full(1 << (ORDER - 1) * BITS, -1, dtype=np.int32)
         self.values = np.zeros(0, dtype=np.float32)
 
     def places(self, codes: np.ndarray) -> np.ndarray:
         """Where in ``values`` the four-grams are; makes room for new ones."""
-        page = codes >> 2 * BITS
+        page = codes >> BITS
         at = self.at[page]
         if (at < 0).any():
             fresh = np.unique(page[at < 0])
-            self.at[fresh] = len(self.values) + np.arange(len(fresh)) * (1 << 2 * BITS)
-            self.values = np.concatenate([self.values, np.full(len(fresh) << 2 * BITS, np.nan, dtype=np.float32)])
+            self.at[fresh] = len(self.values) + np.arange(len(fresh)) * (1 << BITS)
+            self.values = np.concatenate([self.values, np.full(len(fresh) << BITS, np.nan, dtype=np.float32)])
             at = self.at[page]
-        return at + (codes & ((1 << 2 * BITS) - 1))
+        return at + (codes & ((1 << BITS) - 1))
 
 
 def distinct_texts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -173,7 +178,7 @@ def gram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
 
         size = 0
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", AT_ONCE):
                 groups: dict[tuple[str, ...], list[bytes]] = {}
                 for text, langs in zip(utf8(part.column("text")), part.column("langs").to_pylist(), strict=True):
                     groups.setdefault(tuple(sorted(langs)), []).append(text)
@@ -330,7 +335,7 @@ def measure(models: dict[str, Broadcast], text: Column, lang: Column) -> Column:
         score = Scorer(models)
         for own_texts, own_langs in batches:
             rows = []
-            for part in slices(pa.RecordBatch.from_arrays([own_texts, own_langs], ["text", "lang"]), "text"):
+            for part in slices(pa.RecordBatch.from_arrays([own_texts, own_langs], ["text", "lang"]), "text", AT_ONCE):
                 texts, langs = utf8(part.column("text")), part.column("lang").to_pylist()
                 for counts, own, value, pooled in zip(map(count_text, texts), langs, *score(texts, langs), strict=True):
                     rows.append({"lang": own if own in models else POOLED, **counts._asdict(), "base_failed": counts.failed(), "log_perplexity": value, "pooled_perplexity": pooled})
